@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 
 from cotrend.functions.keys import pair_key
 
-# Places 0..63 fit the bits of one bigint. Such a catalogue has at most 64 rows, which is what
-# makes the broadcasts of it below safe.
-MASK_BITS = 64
-
 
 def keep_catalogued(items: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Rows whose ``item`` is in the catalogue.
@@ -69,7 +65,7 @@ def pairs_by_join(items: DataFrame, catalogue: DataFrame, by: str = "entity") ->
 def basket_masks(items: DataFrame, catalogue: DataFrame, by: str = "entity") -> DataFrame:
     """Baskets as one bigint per entity, bit ``pos`` set for the tool at that place.
 
-    For catalogues of at most ``MASK_BITS`` places. The bit-or combines on the map side, so an
+    For catalogues of at most ``MASK_BITS`` places (so as many rows). The bit-or combines on the map side, so an
     entity with very many rows reaches the shuffle as one row per task.
     """
     places = F.broadcast(catalogue.select(F.col("Libraries").alias("item"), "pos"))
@@ -95,9 +91,11 @@ def mask_rows(found: DataFrame, keep: list[str], span: int, singles: bool, pairs
     rows = found.select(*keep, "basket", F.explode(all_places).alias("a")).where(_has_bit("a"))
     if not pairs:
         return rows.select(*keep, "a", F.col("a").alias("b"))
-    start = F.col("a") if singles else F.col("a") + 1
-    # sequence() counts down when its end is before its start, hence the condition on the last place
-    partners = F.when(start < span, F.sequence(start, F.lit(span - 1)))
+    last = F.lit(span - 1)
+    if singles:
+        partners = F.sequence("a", last)
+    else:  # sequence() counts down from a start after its end
+        partners = F.when(F.col("a") < last, F.sequence(F.col("a") + 1, last))
     rows = rows.select(*keep, "basket", "a", F.explode(partners).alias("b"))
     return rows.where(_has_bit("b")).select(*keep, "a", "b")
 

@@ -16,6 +16,10 @@ DEFAULT_TOOLS = {
     "Natural Language Processing": ("nltk", "gensim", "spacy"),
 }
 
+# Places 0..63 fit the bits of one bigint. Such a catalogue has at most 64 rows, which is what
+# makes its broadcasts safe.
+MASK_BITS = 64
+
 SCHEMA = "Libraries string, Category string, pos int"
 
 
@@ -27,20 +31,30 @@ def default_catalogue(spark: SparkSession) -> DataFrame:
 def catalogue_span(catalogue: DataFrame) -> int:
     """One more than the last ``pos``; raises when a name or a place occurs twice.
 
-    A small job on the catalogue only. A name listed twice would count its users twice.
+    A job on the catalogue only. A name listed twice would count its users twice. The usual small
+    catalogue is checked on the rows themselves, a larger one by aggregation.
     """
-    row = catalogue.agg(
-        F.count("*").alias("tools"),
-        F.count_distinct("Libraries").alias("names"),
-        F.count_distinct("pos").alias("places"),
-        F.min("pos").alias("first"),
-        F.max("pos").alias("last"),
-    ).first()
-    if not row.tools:
+    tools = catalogue.select("Libraries", "pos")
+    rows = tools.limit(MASK_BITS + 1).collect()
+    if not rows:
         return 0
-    if row.tools != row.names or row.tools != row.places or row.first < 0:
+    if len(rows) <= MASK_BITS:
+        places = [row.pos for row in rows]
+        first, last = min(places), max(places)
+        unique = len(set(places)) == len({row.Libraries for row in rows}) == len(rows)
+    else:
+        totals = tools.agg(
+            F.count("*").alias("tools"),
+            F.count_distinct("Libraries").alias("names"),
+            F.count_distinct("pos").alias("places"),
+            F.min("pos").alias("first"),
+            F.max("pos").alias("last"),
+        ).first()
+        first, last = totals.first, totals.last
+        unique = totals.tools == totals.names == totals.places
+    if not unique or first < 0:
         raise ValueError("each catalogue row needs its own name and its own place from 0 on")
-    return row.last + 1
+    return last + 1
 
 
 def tools_of_category(catalogue: DataFrame, category: str) -> DataFrame:

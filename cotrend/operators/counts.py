@@ -12,14 +12,13 @@ from pyspark.sql.types import ArrayType
 from cotrend.functions.keys import pair_key
 from cotrend.functions.months import month_text
 from cotrend.operators.baskets import (
-    MASK_BITS,
     basket_masks,
     basket_places,
     keep_catalogued,
     mask_rows,
     place_rows,
 )
-from cotrend.operators.catalogue import catalogue_span
+from cotrend.operators.catalogue import MASK_BITS, catalogue_span
 
 
 def drop_undated(entities: DataFrame) -> DataFrame:
@@ -58,6 +57,7 @@ def usage_of_baskets(
 ) -> DataFrame:
     """Counts per item or pair and month from baskets and dated entities.
 
+    ``span`` comes from ``catalogue_span`` and ``found`` from ``find_baskets``.
     Equal baskets of one month are counted first, so pairs are formed once per different basket
     and not once per entity.
     """
