@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cotrend.functions.keys import entity_id_from_path, path_parts
@@ -145,17 +145,28 @@ def notebook_usage_from_lines(spark, sf_dir):
 # --- scans --------------------------------------------------------------------------------------
 
 
+def _source_folder() -> Column:
+    return F.regexp_extract("path", "/(documents|conversations)-[^/]*/[^/]*$", 1)
+
+
+def _text_folders(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Two tables written as folders of text files; each text ends with one newline more."""
+    roots = []
+    for name in ("documents", "conversations"):
+        roots.append(scratch_path(spark, name))
+        tb.table(spark, sf_dir, name).select("text").write.text(roots[-1])
+    return roots
+
+
 @query(
-    "SELECT source AS folder, CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes "
-    "FROM documents GROUP BY source"
+    """SELECT 'documents' AS folder, CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes FROM documents
+UNION ALL
+SELECT 'conversations', CAST(sum(strlen(text) + 1) AS BIGINT) FROM conversations"""
 )
 def scan_file_listing(spark, sf_dir):
-    root = scratch_path(spark, "listing")
-    texts = tb.table(spark, sf_dir, "documents").select("text", "source")
-    texts.write.partitionBy("source").text(root)
-    listing = files.list_files(spark, [f"{root}/source=*", f"{root}/missing"])
-    folder = F.regexp_extract("path", "/source=([^/]+)/", 1)
-    return listing.groupBy(folder.alias("folder")).agg(F.sum("length").alias("bytes"))
+    folders = _text_folders(spark, sf_dir)
+    listing = files.list_files(spark, [*folders, scratch_path(spark, "missing")])
+    return listing.groupBy(_source_folder().alias("folder")).agg(F.sum("length").alias("bytes"))
 
 
 @query("SELECT unnest(string_split(text, chr(10))) AS line FROM conversations")
@@ -228,13 +239,8 @@ def scan_repo_metadata(spark, sf_dir):
 GROUP BY source"""
 )
 def union_sources(spark, sf_dir):
-    roots = []
-    for name in ("documents", "conversations"):
-        roots.append(scratch_path(spark, name))
-        tb.table(spark, sf_dir, name).select("text").write.text(roots[-1])
-    source = F.regexp_extract("path", "/(documents|conversations)-[^/]*/[^/]*$", 1)
-    lines = files.scan_lines(spark, roots)
-    return lines.groupBy(source.alias("source")).agg(
+    lines = files.scan_lines(spark, _text_folders(spark, sf_dir))
+    return lines.groupBy(_source_folder().alias("source")).agg(
         F.count("*").alias("lines"), F.sum(F.octet_length("line").cast("bigint")).alias("bytes")
     )
 

@@ -31,7 +31,8 @@ def _present(spark: SparkSession, folders: Iterable[str]) -> list[str]:
 def list_files(spark: SparkSession, folders: list[str]) -> DataFrame:
     """Files directly in the folders: ``path``, ``length``. A missing folder has no files.
 
-    Only these two columns are read, so no file is opened.
+    Only these two columns are read, so no file is opened. Spark leaves out empty files, and files
+    whose name starts with ``_`` or ``.``.
     """
     kept = _present(spark, folders)
     if not kept:

@@ -1,0 +1,138 @@
+"""Increments, tables per key, trends over them, and database tables."""
+
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from cotrend import (
+    append_by_key,
+    append_table,
+    append_table_per_key,
+    read_increments,
+    read_table,
+    read_trend,
+    trend,
+    trend_by_category,
+    trend_pairs_by_category,
+    write_increment,
+)
+
+from .conftest import final_plan, rows
+
+SCHEMA = "library string, datetime string, lib_counts long"
+FIRST = [("numpy", "2017-01", 3), ("numpy", "2017-02", 1), ("matplotlib_numpy", "2017-01", 2), ("123", "2017-01", 5)]
+SECOND = [("numpy", "2017-01", 4), ("a/b c=d", "2017-03", 1)]
+
+
+def frame(spark, data):
+    return spark.createDataFrame(data, SCHEMA)
+
+
+def stored(spark, root):
+    return rows(read_increments(spark, root).select("library", "datetime", "lib_counts"))
+
+
+def test_increments_add_up(spark, tmp_path):
+    root = str(tmp_path / "counts")
+    write_increment(frame(spark, FIRST), root, "b1")
+    write_increment(frame(spark, SECOND), root, "b2")
+    assert stored(spark, root) == sorted(FIRST + SECOND)
+    assert rows(trend(read_increments(spark, root), "numpy")) == [("2017-01", 7), ("2017-02", 1)]
+    assert rows(trend(read_increments(spark, root), "123")) == [("2017-01", 5)]
+    assert rows(trend(read_increments(spark, root), "never used")) == []
+
+
+def test_a_second_run_replaces_the_first(spark, tmp_path):
+    root = str(tmp_path / "counts")
+    write_increment(frame(spark, FIRST), root, "b1")
+    write_increment(frame(spark, SECOND), root, "b2")
+    write_increment(frame(spark, FIRST[:1]), root, "b1")
+    assert stored(spark, root) == sorted(FIRST[:1] + SECOND)
+    write_increment(frame(spark, []), root, "b1")
+    assert stored(spark, root) == sorted(SECOND)
+    write_increment(frame(spark, []), root, "b2")
+    assert stored(spark, root) == []
+
+
+def test_fan_out_appends(spark, tmp_path):
+    root = str(tmp_path / "by-key")
+    append_by_key(frame(spark, FIRST), root)
+    append_by_key(frame(spark, SECOND), root)
+    assert stored(spark, root) == sorted(FIRST + SECOND)
+    folders = {path.name for path in (tmp_path / "by-key").iterdir() if path.is_dir()}
+    assert {"library=numpy", "library=matplotlib_numpy", "library=123"} <= folders and len(folders) == 4
+    files = list((tmp_path / "by-key" / "library=numpy").glob("*.parquet"))
+    assert len(files) == 2  # one per append
+
+
+def test_one_key_reads_one_folder(spark, tmp_path):
+    root = str(tmp_path / "by-key")
+    append_by_key(frame(spark, FIRST), root)
+    text = final_plan(trend(read_increments(spark, root), "numpy"))
+    assert "PartitionFilters: [isnotnull(library" in text
+
+
+def test_category_reads_its_folders_only(spark, tools, tmp_path):
+    root = str(tmp_path / "by-key")
+    append_by_key(frame(spark, FIRST), root)
+    text = final_plan(trend_by_category(read_increments(spark, root), tools, "Data Wrangling"))
+    assert "dynamicpruning" in text
+
+
+def test_category_series(spark, tools):
+    counts = frame(spark, FIRST + SECOND + [("pandas", "2017-01", 1), ("keras", "2017-01", 9)])
+    got = [tuple(row) for row in trend_by_category(counts, tools, "Data Wrangling").collect()]
+    assert got == [("numpy", "2017-01", 7), ("numpy", "2017-02", 1), ("pandas", "2017-01", 1)]
+    two = trend_by_category(counts, tools, "Data Wrangling", k=2).select("series").distinct()
+    assert rows(two) == [("numpy",)]
+
+
+def test_pair_series(spark, tools):
+    counts = frame(
+        spark,
+        [("matplotlib_numpy", "2017-02", 1), ("matplotlib_numpy", "2017-01", 2), ("matplotlib_numpy", "2017-01", 5)]
+        + [("matplotlib_pandas", "2017-01", 4), ("keras_matplotlib", "2017-01", 8), ("numpy", "2017-01", 3)],
+    )
+    got = trend_pairs_by_category(counts, tools, "matplotlib", "Data Wrangling").collect()
+    assert [tuple(row) for row in got] == [
+        ("matplotlib + numpy", "2017-01", 7),
+        ("matplotlib + numpy", "2017-02", 1),
+        ("matplotlib + pandas", "2017-01", 4),
+    ]
+    deep = trend_pairs_by_category(counts, tools, "matplotlib", "Deep Learning").collect()
+    assert [tuple(row) for row in deep] == [("matplotlib + keras", "2017-01", 8)]
+
+
+def test_text_counts_add_up(spark):
+    counts = frame(spark, FIRST + SECOND).withColumn("lib_counts", F.col("lib_counts").cast("string"))
+    assert rows(trend(counts, "numpy")) == [("2017-01", 7), ("2017-02", 1)]
+
+
+@pytest.fixture
+def database():
+    """An in-memory database inside the test's own JVM (no server, no port)."""
+    url = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true"
+    return url, {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+
+
+def test_table_per_key_in_a_database(spark, database, tmp_path):
+    url, properties = database
+    for batch, data in (("b1", FIRST), ("b2", SECOND)):
+        root = str(tmp_path / batch)
+        write_increment(frame(spark, data), root, batch)
+        append_table_per_key(read_increments(spark, root), url, properties)
+    table = read_table(spark, url, '"numpy"', properties)
+    assert table.columns == ["datetime", "lib_counts"]
+    assert rows(table) == [("2017-01", "3"), ("2017-01", "4"), ("2017-02", "1")]
+    assert rows(read_trend(spark, url, "numpy", properties)) == [("2017-01", 7), ("2017-02", 1)]
+    assert rows(read_trend(spark, url, "a/b c=d", properties)) == [("2017-03", 1)]
+
+
+def test_one_table_in_a_database(spark, database):
+    url, properties = database
+    types = {"createTableColumnTypes": "library VARCHAR(200), datetime VARCHAR(7)"}
+    append_table(frame(spark, FIRST), url, "counts", properties, **types)
+    append_table(frame(spark, SECOND), url, "counts", properties, **types)
+    counts = read_table(spark, url, "counts", properties)
+    assert rows(trend(counts, "numpy")) == [("2017-01", 7), ("2017-02", 1)]
