@@ -71,8 +71,9 @@ ALL_WITH = with_(USED, DATED, PAIRED, SINGLE_COUNTS, PAIR_COUNTS, COUNTS)
 
 def query(sql: str) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
-        SQL[function.__name__] = sql
+        name = function.__name__.strip("_")
+        QUERIES[name] = function
+        SQL[name] = sql
         return function
 
     return register
@@ -129,7 +130,7 @@ def monthly_usage(spark, sf_dir):
     )
     + "SELECT * FROM counts"
 )
-def notebook_usage_from_lines(spark, sf_dir):
+def notebook_usage_(spark, sf_dir):
     metadata = tb.customer_documents(spark, sf_dir).select(
         "repo_id", json_text(F.col("document"), "updated_at").alias("updated_at")
     )
@@ -265,7 +266,7 @@ def path_entity_id(spark, sf_dir):
     """SELECT o_orderkey, 'bucket' AS bucket, 'notebooks_6/nb_' || o_orderkey || '.ipynb' AS key,
        'nb_' || o_orderkey || '.ipynb' AS file_name FROM orders"""
 )
-def path_parts_of_url(spark, sf_dir):
+def path_parts_(spark, sf_dir):
     orders = tb.table(spark, sf_dir, "orders").select("o_orderkey")
     parts = path_parts(tb.notebook_path(F.col("o_orderkey")))
     return orders.select("o_orderkey", *[part.alias(name) for name, part in parts.items()])
@@ -332,7 +333,7 @@ def drop_undated(spark, sf_dir):
   WHERE l_returnflag NOT IN ('A', 'R'))
 GROUP BY item"""
 )
-def extract_imports_by_name(spark, sf_dir):
+def extract_imports_(spark, sf_dir):
     names = extract_imports(tb.notebook_lines(spark, sf_dir))
     return names.groupBy("item").agg(F.count("*").alias("notebooks"))
 

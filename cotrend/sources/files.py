@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,17 +16,20 @@ FILE_COLUMNS = "path string, length bigint"
 LINE_COLUMNS = "path string, line string"
 
 
-def _present(spark: SparkSession, folders: Iterable[str]) -> list[str]:
-    kept = []
-    for folder in folders:
-        try:
-            spark.read.format("binaryFile").load(folder)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-        else:
-            kept.append(folder)
-    return kept
+def _read_present(
+    spark: SparkSession, folders: list[str], read: Callable[[list[str]], DataFrame], columns: str
+) -> DataFrame:
+    """Read the folders that exist. They are listed once; only when one is missing, one by one."""
+    try:
+        return read(folders)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    if len(folders) == 1:
+        return spark.createDataFrame([], columns)
+    return reduce(
+        DataFrame.unionByName, [_read_present(spark, [folder], read, columns) for folder in folders]
+    )
 
 
 def list_files(spark: SparkSession, folders: list[str]) -> DataFrame:
@@ -34,10 +38,11 @@ def list_files(spark: SparkSession, folders: list[str]) -> DataFrame:
     Only these two columns are read, so no file is opened. Spark leaves out empty files, and files
     whose name starts with ``_`` or ``.``.
     """
-    kept = _present(spark, folders)
-    if not kept:
-        return spark.createDataFrame([], FILE_COLUMNS)
-    return spark.read.format("binaryFile").load(kept).select("path", "length")
+
+    def read(paths: list[str]) -> DataFrame:
+        return spark.read.format("binaryFile").load(paths).select("path", "length")
+
+    return _read_present(spark, folders, read, FILE_COLUMNS)
 
 
 def urls_to_frame(spark: SparkSession, urls: list[str]) -> DataFrame:
@@ -50,11 +55,12 @@ def scan_lines(spark: SparkSession, folders: list[str]) -> DataFrame:
 
     Lines end at ``\\n`` alone; a lone ``\\r`` stays inside its line.
     """
-    kept = _present(spark, folders)
-    if not kept:
-        return spark.createDataFrame([], LINE_COLUMNS)
-    rows = spark.read.text(kept, lineSep="\n")
-    return rows.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
+
+    def read(paths: list[str]) -> DataFrame:
+        rows = spark.read.text(paths, lineSep="\n")
+        return rows.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
+
+    return _read_present(spark, folders, read, LINE_COLUMNS)
 
 
 def read_relation(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
