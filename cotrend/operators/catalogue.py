@@ -16,6 +16,11 @@ DEFAULT_TOOLS = {
     "Natural Language Processing": ("nltk", "gensim", "spacy"),
 }
 
+# What is shown before anything is chosen.
+DEFAULT_CATEGORY = "Visualization"
+DEFAULT_TOOL = "matplotlib"
+DEFAULT_PARTNER = "Data Wrangling"
+
 # Places 0..63 fit the bits of one bigint. Such a catalogue has at most 64 rows, which is what
 # makes its broadcasts safe.
 MASK_BITS = 64

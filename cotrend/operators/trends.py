@@ -10,7 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cotrend.functions.keys import ordered_pair_key, series_label
-from cotrend.operators.catalogue import first_k_of_category
+from cotrend.operators.catalogue import (
+    DEFAULT_CATEGORY,
+    DEFAULT_PARTNER,
+    DEFAULT_TOOL,
+    first_k_of_category,
+)
 from cotrend.operators.counts import count_number
 
 
@@ -28,7 +33,7 @@ def _series(counts: DataFrame, chosen: DataFrame) -> DataFrame:
 
 
 def trend_by_category(
-    counts: DataFrame, catalogue: DataFrame, category: str, k: int = 3
+    counts: DataFrame, catalogue: DataFrame, category: str = DEFAULT_CATEGORY, k: int = 3
 ) -> DataFrame:
     """Series of the first ``k`` tools of a category; a tool never used has no rows."""
     tool = F.col("Libraries")
@@ -37,7 +42,11 @@ def trend_by_category(
 
 
 def trend_pairs_by_category(
-    counts: DataFrame, catalogue: DataFrame, item: str, category: str, k: int = 3
+    counts: DataFrame,
+    catalogue: DataFrame,
+    item: str = DEFAULT_TOOL,
+    category: str = DEFAULT_PARTNER,
+    k: int = 3,
 ) -> DataFrame:
     """Series of ``item`` together with each of the first ``k`` tools of another category."""
     tool, main = F.col("Libraries"), F.lit(item)
