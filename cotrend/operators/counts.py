@@ -75,18 +75,25 @@ def usage_of_baskets(
     else:
         rows = mask_rows(equal, keep, span, singles, pairs)
     counts = rows.groupBy("a", "b", "month").agg(F.sum("n").alias("lib_counts"))
-    return _named(counts, catalogue, broadcast=not listed)
-
-
-def _named(counts: DataFrame, catalogue: DataFrame, broadcast: bool) -> DataFrame:
     names = catalogue.select("pos", "Libraries")
-    if broadcast:  # at most MASK_BITS rows
+    if not listed:  # at most MASK_BITS rows
         names = F.broadcast(names)
+    return _named(counts, names, pairs)
+
+
+def _named(counts: DataFrame, names: DataFrame, pairs: bool) -> DataFrame:
+    """Names in place of the places ``a`` and ``b``, the smaller name first."""
     one = names.select(F.col("pos").alias("a"), F.col("Libraries").alias("name_a"))
-    other = names.select(F.col("pos").alias("b"), F.col("Libraries").alias("name_b"))
-    item_b = F.when(F.col("a") != F.col("b"), F.greatest("name_a", "name_b"))
-    named = counts.join(one, "a").join(other, "b").select(
-        F.least("name_a", "name_b").alias("item_a"),
+    named = counts.join(one, "a")
+    if pairs:
+        other = names.select(F.col("pos").alias("b"), F.col("Libraries").alias("name_b"))
+        named = named.join(other, "b")
+        item_a = F.least("name_a", "name_b")
+        item_b = F.when(F.col("a") != F.col("b"), F.greatest("name_a", "name_b"))
+    else:
+        item_a, item_b = F.col("name_a"), F.lit(None).cast("string")
+    named = named.select(
+        item_a.alias("item_a"),
         item_b.alias("item_b"),
         month_text(F.col("month")).alias("datetime"),
         "lib_counts",

@@ -21,12 +21,13 @@ def append_table(rows: DataFrame, url: str, table: str, properties: dict[str, st
 def append_table_per_key(counts: DataFrame, url: str, properties: dict[str, str]) -> list[str]:
     """Append ``datetime, lib_counts`` to one table per key present; returns the keys written.
 
-    Give stored counts (``read_increments``): each key is one write that reads its own folder. The
-    list of keys is bounded by the tools and pairs of the catalogue.
+    Give stored counts (``read_increments``): each key is one write that filters them by key. The
+    list of keys is bounded by the tools and pairs of the catalogue. A key has a row per month and
+    batch, so one task and one connection write it.
     """
     keys = [row.library for row in counts.select("library").distinct().toLocalIterator()]
     for key in sorted(keys):
-        rows = counts.where(F.col("library") == key).select("datetime", "lib_counts")
+        rows = counts.where(F.col("library") == key).select("datetime", "lib_counts").coalesce(1)
         append_table(
             counts_as_text(rows), url, quoted(key), properties, createTableColumnTypes=COLUMN_TYPES
         )

@@ -1,9 +1,12 @@
 """The line rules, on lines as they stand in a file (a backslash and a letter for a line end)."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
-from cotrend import extract_imports, imported_names
+from cotrend import extract_imports, imported_names, scan_lines
 
 from .conftest import rows
 
@@ -71,3 +74,41 @@ def test_long_line_is_read_whole(spark):
     text = '"import numpy' + " " * 3_000_000 + ', scipy\\n",'
     lines = spark.createDataFrame([("p", text)], "path string, line string")
     assert rows(extract_imports(lines)) == [("p", ""), ("p", "numpy"), ("p", "scipy")]
+
+
+def names_by_hand(line):
+    for ends in (r"\s", ",", '"', "n", r"\\"):
+        line = re.sub(rf"\A[{ends}]+|[{ends}]+\Z", "", line, flags=re.ASCII)
+    head, *rest = re.split("#| as ", line, maxsplit=1)[0].split(" ")
+    if head == "import":
+        return [re.match(r"[^.]*", word.strip(", ")).group() for word in rest]
+    if head == "from" and rest[1:2] == ["import"]:
+        return [re.match(r"[^.]*", rest[0]).group()]
+    return []
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_lines(spark, seed):
+    choose = random.Random(seed)
+    pieces = ["import", "from", " as ", " ", " ", ",", ".", "#", '"', "n", "\\", "\t", "\r", "numpy", "é", "scipy.x", ", "]
+    lines = ["".join(choose.choices(pieces, k=choose.randint(0, 9))) for _ in range(1500)]
+    lines += ["import " + line for line in lines[:500]] + ["from x import" + line for line in lines[:500]]
+    lines = ['  "' + line + '\\n",' if choose.random() < 0.5 else line for line in lines]
+    frame = spark.createDataFrame(list(enumerate(lines)), "i int, line string")
+    expected = sorted((i, name) for i, line in enumerate(lines) for name in names_by_hand(line))
+    got = extract_imports(frame, by="i", distinct=False)
+    assert rows(got) == expected and len(expected) > 500
+
+
+def test_one_file_read_by_many_tasks(spark, tmp_path):
+    body = "".join(f'    "import {name}\\n",\n' + '    "x = 1\\n",\n' * 2000 for name in ("numpy", "scipy", "numpy"))
+    (tmp_path / "nb_1.ipynb").write_text(body)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        lines = scan_lines(spark, [str(tmp_path)])
+        assert lines.rdd.getNumPartitions() > 5 and lines.count() == body.count("\n")
+        got = rows(extract_imports(lines))
+        assert [item for _, item in got] == ["numpy", "scipy"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
