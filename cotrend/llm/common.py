@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -36,11 +39,33 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Spark hand this package to the executors' Python, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="package-"), "package.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def map_batches(
     df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
     """``function`` on Arrow batches of at most ``ROWS_AT_ONCE`` rows, so that outputs stay small."""
 
+    ship_package(df.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS_AT_ONCE):

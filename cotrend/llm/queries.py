@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cotrend.llm import bpe, tokens
+from cotrend.llm import bpe, language, quality, tokens
+from cotrend.llm.common import crc_remainder
 from cotrend.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,3 +47,30 @@ def op7_bpe(spark, sf_dir):
 @query()
 def op9_token_counts(spark, sf_dir):
     return tokens.count_tokens(table(spark, sf_dir, "documents"), PIECE_FILE)
+
+
+@query()
+def op10_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_remainder(F.col("doc_id"), 3) == 1
+    model = language.fit(docs.select("doc_id", "text", "lang").where(~held_out))
+    scored = language.predict(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def quality_model(spark, sf_dir, docs):
+    """Learned from the labels of rows that are not held out."""
+    learnable = crc_remainder(F.col("doc_id"), 5) != 0
+    return quality.fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels").where(learnable))
+
+
+@query()
+def op2_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs, quality_model(spark, sf_dir, docs))
+    return scored.select(
+        "doc_id",
+        (crc_remainder(F.col("doc_id"), 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
