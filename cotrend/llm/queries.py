@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cotrend.llm import bpe, language, quality, tokens
+from cotrend.llm import bpe, language, line_dedup, quality, tokens
 from cotrend.llm.common import crc_remainder
 from cotrend.plans.tables import table
 
@@ -74,3 +74,22 @@ def op2_quality(spark, sf_dir):
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
     )
+
+
+@query(
+    """WITH lines AS (
+  SELECT doc_id, unnest(pos) AS i, unnest(parts) AS line FROM (
+    SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts,
+           generate_series(1, len(string_split(coalesce(text, ''), chr(10)))) AS pos FROM documents)),
+keyed AS (
+  SELECT doc_id, i, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+common AS (
+  SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
+FROM keyed k LEFT JOIN common c ON k.key = c.key GROUP BY doc_id"""
+)
+def op5_line_dedup(spark, sf_dir):
+    kept = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"), min_docs=10)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
