@@ -39,6 +39,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def screen_bits(rows: DataFrame, key: Column, keys: DataFrame, log_bits: int = 22) -> DataFrame:
+    """Rows whose 64-bit hash ``key`` may be in the only column of ``keys``: no right row is lost, a few wrong ones stay.
+
+    The keys become a bit set of fixed size, ``2 ** log_bits`` bits in at most ``2 ** (log_bits - 6)`` rows of 16 bytes.
+    That bound holds for any number of keys, so these rows are broadcast; with very many keys all rows pass.
+    """
+    place = lambda c: F.shiftrightunsigned(c, 64 - log_bits)
+    of_key = place(F.col(keys.columns[0]))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), (of_key % 64).cast("int"))
+    words = keys.groupBy(F.shiftright(of_key, 6).alias("_word")).agg(F.bit_or(one).alias("_mask"))
+    held = rows.withColumn("_place", place(key))
+    met = held.join(F.broadcast(words), F.shiftright("_place", 6) == F.col("_word"))
+    bit = F.call_function("getbit", F.col("_mask"), (F.col("_place") % 64).cast("int"))
+    return met.where(bit == 1).select(*rows.columns)
+
+
 _shipped: set[str] = set()
 
 

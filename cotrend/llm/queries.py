@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cotrend.llm import bpe, language, line_dedup, quality, tokens
+from cotrend.llm import bpe, exact_dedup, language, line_dedup, quality, tokens
 from cotrend.llm.common import crc_remainder
 from cotrend.plans.tables import table
 
@@ -93,3 +93,23 @@ FROM keyed k LEFT JOIN common c ON k.key = c.key GROUP BY doc_id"""
 def op5_line_dedup(spark, sf_dir):
     kept = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"), min_docs=10)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query(
+    r"""WITH normal AS (
+  SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\t-\r]+', ' ', 'g')) AS text_sha256 FROM documents)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = min(doc_id) OVER same AS kept, text_sha256
+FROM normal WINDOW same AS (PARTITION BY text_sha256)"""
+)
+def op4_exact_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    incoming = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1  # half of the rows as a batch on top of the other half
+    found = exact_dedup.find_copies(docs, incoming)
+    return found.select(
+        "doc_id",
+        "keep_id",
+        "group_size",
+        (F.col("doc_id") == F.col("keep_id")).alias("kept"),
+        F.lower(F.hex("digest")).alias("text_sha256"),
+    )
