@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cotrend.llm import bpe, exact_dedup, language, line_dedup, quality, tokens
+from cotrend.llm import bpe, exact_dedup, language, line_dedup, mixing, quality, tokens
 from cotrend.llm.common import crc_remainder
 from cotrend.plans.tables import table
 
@@ -113,3 +113,9 @@ def op4_exact_dedup(spark, sf_dir):
         (F.col("doc_id") == F.col("keep_id")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+@query()
+def op3_mixing(spark, sf_dir):
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, limit=2.0)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
