@@ -7,12 +7,12 @@ moves along directions that leave two totals of the source unchanged, its words
 two documents are decided at 0 or 1. So the words taken come out near the target, not only on average.
 
 Flights run in blocks of at most ``BLOCK`` documents of a source, in parallel; each leaves two documents or fewer
-undecided, and as long documents fly first, these are short. They go to the next, much smaller round of blocks, until every source has one block; its last two are the
-landing problem, and of its four outcomes the one nearest to the totals is taken.
+undecided, and as long documents fly first, these are short. They go to the next, much smaller round of blocks, until every source has one block; its last two, with
+a dozen shorter documents, are the landing problem, and of all its outcomes the one nearest to the totals is taken.
 
 Cases: a null text has size 0 and is never taken; empty documents likewise; a source may be null (last in order); a source
 of size 0 has target 0; rows that repeat a doc_id are drawn one by one, in any order of equal rows; ties in the landing
-go to the outcome that takes fewer; an empty table gives an empty table; the seed decides all draws, so reruns agree.
+go to the outcome that is first in binary order; an empty table gives an empty table; the seed decides all draws, so reruns agree.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from cotrend.llm.common import SPACE, ship_package, stored
 
 BLOCK = 4096
+#: Decided documents that may change in a landing, of sizes spread evenly up to the longest open one.
+COMPANIONS = 12
 #: A probability this near to 0 or 1 is decided.
 EDGE = 1e-9
 
@@ -114,18 +116,22 @@ def uniform(place: int, salt: float) -> float:
 
 
 def land(size: np.ndarray, chance: np.ndarray) -> np.ndarray:
-    """Decide the last two entries or fewer: the outcome nearest in words, then in documents, then the smaller."""
-    p = chance.copy()
-    open_ = np.flatnonzero((p > EDGE) & (p < 1 - EDGE))
-    outcomes = [[]]
-    for _ in open_:
-        outcomes = [o + [v] for o in outcomes for v in (0.0, 1.0)]
-    words, number = (size[open_] * p[open_]).sum(), p[open_].sum()
-
-    def miss(o: list[float]) -> tuple[float, float, float]:
-        return abs((size[open_] * o).sum() - words), abs(sum(o) - number), sum(o)
+    """Decide the last two entries or fewer, and let ``COMPANIONS`` decided ones change with them.
 
-    p[open_] = min(outcomes, key=miss)
+    Of all outcomes of these few entries the one nearest to their words and number before the landing is taken.
+    """
+    p = chance.copy()
+    is_open = (p > EDGE) & (p < 1 - EDGE)
+    if not is_open.any():
+        return p
+    shorter = np.flatnonzero(~is_open & (size <= size[is_open].max()))
+    shorter = shorter[np.argsort(size[shorter], kind="stable")]
+    spread = np.unique(np.linspace(0, len(shorter) - 1, COMPANIONS).astype(int)) if len(shorter) else []
+    own = np.concatenate([np.flatnonzero(is_open), shorter[spread]]).astype(int)
+    outcomes = (np.arange(1 << len(own))[:, None] >> np.arange(len(own)) & 1).astype(float)
+    words = np.abs(outcomes @ size[own] - size[own] @ p[own]) / max(size[own].mean(), 1.0)
+    number = np.abs(outcomes.sum(1) - p[own].sum())
+    p[own] = outcomes[np.argmin(words + 0.1 * number)]
     return p
 
 
