@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cotrend.llm import bpe, exact_dedup, language, line_dedup, mixing, quality, tokens
+from cotrend.llm import bpe, exact_dedup, language, license_scan, line_dedup, mixing, quality, tokens
 from cotrend.llm.common import crc_remainder
 from cotrend.plans.tables import table
 
@@ -119,3 +119,18 @@ def op4_exact_dedup(spark, sf_dir):
 def op3_mixing(spark, sf_dir):
     mixed = mixing.mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, limit=2.0)
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@query()
+def op6_license_scan(spark, sf_dir):
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base_places").cast("long").alias("n_base"),
+        F.array_min("base_places").cast("long").alias("first_word"),
+        F.array_max("base_places").cast("long").alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
