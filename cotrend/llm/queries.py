@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cotrend.llm import bpe, exact_dedup, language, license_scan, line_dedup, mixing, quality, tokens
+from cotrend.llm import block_search, bpe, exact_dedup, language, license_scan, line_dedup, mixing, quality, tokens
 from cotrend.llm.common import crc_remainder
 from cotrend.plans.tables import table
 
@@ -134,3 +134,21 @@ def op6_license_scan(spark, sf_dir):
         F.array_join("labels", ",").alias("labels"),
         "score",
     )
+
+
+@query(
+    """WITH usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.v, c.v) AS score
+  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
+)
+def op1_block_search(spark, sf_dir):
+    return block_search.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
