@@ -140,10 +140,10 @@ def op6_license_scan(spark, sf_dir):
     """WITH usable AS (
   SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
 pairs AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.v, c.v) AS score
+  SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_sum([(q.v[i] - c.v[i]) * (q.v[i] - c.v[i]) FOR i IN range(1, len(q.v) + 1)])) AS score
   FROM usable q JOIN usable c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0),
 ranked AS (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score
