@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cotrend.llm import block_search, bpe, exact_dedup, language, license_scan, line_dedup, mixing, quality, tokens
+from cotrend.llm import (
+    block_search,
+    bpe,
+    exact_dedup,
+    jaccard_join,
+    language,
+    license_scan,
+    line_dedup,
+    mixing,
+    quality,
+    tokens,
+)
 from cotrend.llm.common import crc_remainder
 from cotrend.plans.tables import table
 
@@ -152,3 +163,27 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
 )
 def op1_block_search(spark, sf_dir):
     return block_search.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
+@query(
+    r"""WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\t-\r]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct([array_to_string(w[i:i + 3], ' ') FOR i IN range(1, len(w) - 2)]) END AS s FROM words),
+items AS (SELECT doc_id, unnest(s) AS x FROM sets),
+sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+shared AS (
+  SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS i FROM items p JOIN items q ON p.x = q.x AND p.doc_id < q.doc_id
+  GROUP BY p.doc_id, q.doc_id),
+links AS (
+  SELECT a, b FROM shared JOIN sizes p ON a = p.doc_id JOIN sizes q ON b = q.doc_id
+  WHERE 100 * i >= 85 * (p.n + q.n - i)),
+either AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached(doc_id, root) AS (
+  SELECT doc_id, doc_id FROM sizes UNION SELECT b, root FROM reached JOIN either ON doc_id = a)
+SELECT doc_id, n AS n_shingles, min(root) AS component_id FROM reached JOIN sizes USING (doc_id) GROUP BY doc_id, n"""
+)
+def op8_jaccard_join(spark, sf_dir):
+    return jaccard_join.similar_groups(table(spark, sf_dir, "documents"), words=4, percent=85)
