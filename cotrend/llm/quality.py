@@ -58,8 +58,9 @@ class Rule:
 
     parts: frozenset[tuple[str, bool, float]]
 
-    def column(self) -> Column:
-        tests = [F.col(n) > t if above else F.col(n) <= t for n, above, t in sorted(self.parts)]
+    def column(self, stats: str) -> Column:
+        value = {n: F.col(stats)[n] for n, _, _ in self.parts}
+        tests = [value[n] > t if above else value[n] <= t for n, above, t in sorted(self.parts)]
         return reduce(lambda a, b: a & b, tests)
 
     def of(self, x: np.ndarray, names: list[str]) -> np.ndarray:
@@ -75,11 +76,11 @@ class Model:
     rules: list[tuple[Rule, float]]
     bias: float
 
-    def column(self) -> Column:
-        """Score between 0 and 1, from columns named like the statistics."""
+    def column(self, stats: str) -> Column:
+        """Score between 0 and 1, from the column ``stats`` that holds the statistics."""
         logit = F.lit(self.bias)
         for rule, weight in self.rules:
-            logit = logit + F.when(rule.column(), F.lit(weight)).otherwise(F.lit(0.0))
+            logit = logit + F.when(rule.column(stats), F.lit(weight)).otherwise(F.lit(0.0))
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-logit))
 
 
@@ -168,9 +169,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 6000, seed: int =
     return fit_rules(table[names].to_numpy(float), table["quality"].to_numpy(float), names, seed)
 
 
-def score(docs: DataFrame, model: Model, *more: str) -> DataFrame:
-    """``doc_id``, ``score`` and the columns named in ``more`` for every row."""
-    names = statistics(F.col("text"))
-    with_stats = texts(docs, *more).withColumn("stats", F.struct(*[c.alias(n) for n, c in names.items()]))
-    spread = with_stats.select("doc_id", *more, "stats.*")
-    return spread.select("doc_id", *more, model.column().alias("score"))
+def with_statistics(docs: DataFrame) -> DataFrame:
+    stats = statistics(F.coalesce(F.col("text"), F.lit("")))
+    return docs.withColumn("_stats", F.struct(*[c.alias(n) for n, c in stats.items()]))
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """``doc_id``, ``score`` for every row."""
+    return with_statistics(docs.select("doc_id", "text")).select("doc_id", model.column("_stats").alias("score"))
+
+
+def keep(docs: DataFrame, model: Model, least: float) -> DataFrame:
+    """The rows of ``docs``, unchanged, whose score is ``least`` or more."""
+    return with_statistics(docs).where(model.column("_stats") >= least).drop("_stats")
