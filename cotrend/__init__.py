@@ -38,17 +38,18 @@ from cotrend.operators.counts import (
 from cotrend.operators.extract import extract_imports
 from cotrend.operators.relation import date_entities, join_relation
 from cotrend.operators.trends import trend, trend_by_category, trend_pairs_by_category
-from cotrend.plans.batch import notebook_usage, run_batch
+from cotrend.plans.batch import notebook_drop_report, notebook_usage, run_batch, run_batches
 from cotrend.session import build_session, scratch_path
 from cotrend.sinks.database import append_table, append_table_per_key
-from cotrend.sinks.increments import append_by_key, write_increment
+from cotrend.sinks.increments import append_by_key, write_increment, write_increments
 from cotrend.sources.catalogue_file import load_catalogue
-from cotrend.sources.database import read_table, read_trend
+from cotrend.sources.database import read_table, read_trend, table_exists
 from cotrend.sources.files import (
     list_files,
     preview,
     read_relation,
     read_repo_metadata,
+    refuse_hidden,
     scan_lines,
     urls_to_frame,
 )
@@ -85,6 +86,7 @@ __all__ = [
     "month_of",
     "month_text",
     "monthly_usage",
+    "notebook_drop_report",
     "notebook_usage",
     "pair_key",
     "pairs_by_array",
@@ -97,7 +99,10 @@ __all__ = [
     "read_repo_metadata",
     "read_table",
     "read_trend",
+    "table_exists",
+    "refuse_hidden",
     "run_batch",
+    "run_batches",
     "scan_lines",
     "scratch_path",
     "series_label",
@@ -110,4 +115,5 @@ __all__ = [
     "with_month",
     "with_pairs",
     "write_increment",
+    "write_increments",
 ]

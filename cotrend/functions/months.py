@@ -8,15 +8,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Fixed value: the only accepted text form, e.g. 2017-06-30T23:59:59Z (one-digit fields pass too).
 ISO_TEXT = "yyyy-M-d'T'H:m:s'Z'"
 
 
 def json_text(document: Column, key: str) -> Column:
-    """Top-level value of a JSON object; an absent key and a JSON null both give NULL."""
-    return F.get_json_object(document, f"$.{key}")
+    """Top-level value of a JSON object; an absent key and a JSON null both give NULL.
+
+    The key is taken as it is, whatever signs it holds: it is a field name, not a path.
+    """
+    return F.from_json(document, StructType([StructField(key, StringType())])).getField(key)
 
 
 def month_of(text: Column) -> Column:

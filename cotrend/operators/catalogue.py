@@ -34,32 +34,23 @@ def default_catalogue(spark: SparkSession) -> DataFrame:
 
 
 def catalogue_span(catalogue: DataFrame) -> int:
-    """One more than the last ``pos``; raises when a name or a place occurs twice.
+    """One more than the last ``pos``; raises when a name or a place is missing or occurs twice.
 
-    A job on the catalogue only. A name listed twice would count its users twice. The usual small
-    catalogue is checked on the rows themselves, a larger one by aggregation.
+    One aggregation for a catalogue of any size. A name listed twice would count its users twice.
     """
-    tools = catalogue.select("Libraries", "pos")
-    rows = tools.limit(MASK_BITS + 1).collect()
-    if not rows:
+    totals = catalogue.agg(
+        F.count("*").alias("tools"),
+        F.count_distinct("Libraries").alias("names"),
+        F.count_distinct("pos").alias("places"),
+        F.min("pos").alias("first"),
+        F.max("pos").alias("last"),
+    ).first()
+    if not totals.tools:
         return 0
-    if len(rows) <= MASK_BITS:
-        places = [row.pos for row in rows]
-        first, last = min(places), max(places)
-        unique = len(set(places)) == len({row.Libraries for row in rows}) == len(rows)
-    else:
-        totals = tools.agg(
-            F.count("*").alias("tools"),
-            F.count_distinct("Libraries").alias("names"),
-            F.count_distinct("pos").alias("places"),
-            F.min("pos").alias("first"),
-            F.max("pos").alias("last"),
-        ).first()
-        first, last = totals.first, totals.last
-        unique = totals.tools == totals.names == totals.places
-    if not unique or first < 0:
+    # a NULL is no distinct value, so a missing name or place shows as one value too few
+    if not totals.tools == totals.names == totals.places or totals.first < 0:
         raise ValueError("each catalogue row needs its own name and its own place from 0 on")
-    return last + 1
+    return totals.last + 1
 
 
 def tools_of_category(catalogue: DataFrame, category: str) -> DataFrame:
@@ -88,9 +79,10 @@ def first_k_per_category(catalogue: DataFrame, k: int = 3) -> DataFrame:
     return catalogue.withColumn("rank", F.row_number().over(in_category)).where(F.col("rank") <= k)
 
 
-def first_k_of_category(catalogue: DataFrame, category: str, k: int = 3) -> DataFrame:
-    """The first ``k`` tools of one category: never more than ``k`` rows."""
-    return tools_of_category(catalogue, category).limit(k)
+def first_k_of_category(catalogue: DataFrame, category: str, k: int | None = None) -> DataFrame:
+    """The tools of one category in catalogue order; only the first ``k`` where ``k`` is given."""
+    tools = tools_of_category(catalogue, category)
+    return tools if k is None else tools.limit(k)
 
 
 def partner_categories(catalogue: DataFrame, item: str) -> DataFrame:
@@ -112,17 +104,19 @@ def default_partner_category(catalogue: DataFrame, item: str) -> DataFrame:
 def key_universe(catalogue: DataFrame) -> DataFrame:
     """Every tool and every unordered pair of tools, used or not.
 
-    Each tool lists the places before its own and meets their tools by an equi-join.
+    Each tool lists the ranks before its own and meets their tools by an equi-join. Ranks are dense,
+    whatever the places are, so a list is as long as the catalogue at most.
     """
-    tools = catalogue.select(F.col("Libraries").alias("one"), "pos")
+    rank = (F.row_number().over(Window.orderBy("pos")) - 1).alias("rank")  # n rows for n * (n + 1) / 2 keys
+    tools = catalogue.select(F.col("Libraries").alias("one"), rank)
     singles = tools.select(
         F.col("one").alias("item_a"), F.lit(None).cast("string").alias("item_b")
     )
-    earlier = tools.where(F.col("pos") > 0).select(
-        "one", F.explode(F.sequence(F.lit(0), F.col("pos") - 1)).alias("pos")
+    earlier = tools.where(F.col("rank") > 0).select(
+        "one", F.explode(F.sequence(F.lit(0), F.col("rank") - 1)).alias("rank")
     )
-    others = catalogue.select(F.col("Libraries").alias("other"), "pos")
-    pairs = earlier.join(others, "pos").select(
+    others = tools.select(F.col("one").alias("other"), "rank")
+    pairs = earlier.join(others, "rank").select(
         F.least("one", "other").alias("item_a"), F.greatest("one", "other").alias("item_b")
     )
     key = pair_key(F.col("item_a"), F.col("item_b")).alias("library")

@@ -29,13 +29,12 @@ def count_monthly(rows: DataFrame, keys: tuple[str, ...] = ("library", "datetime
     return rows.groupBy(*keys).agg(F.count("*").alias("lib_counts"))
 
 
-def merge_rows(entities: DataFrame, by: str, weight: str | None = None) -> DataFrame:
-    """One row per entity and month with its number of rows ``n``.
+def merge_rows(entities: DataFrame, by: str, *more: str) -> DataFrame:
+    """One row per entity, month and the columns in ``more`` with its number of rows ``n``.
 
     Joined as they are, the rows of an entity listed very often would all meet in one task.
     """
-    rows = F.sum(weight) if weight else F.count("*")
-    return entities.groupBy(by, "month").agg(rows.alias("n"))
+    return entities.groupBy(by, "month", *more).agg(F.count("*").alias("n"))
 
 
 def find_baskets(items: DataFrame, catalogue: DataFrame, span: int, by: str) -> DataFrame:
@@ -50,12 +49,12 @@ def usage_of_baskets(
     catalogue: DataFrame,
     span: int,
     by: str = "entity",
-    weight: str | None = None,
     one_row_per_entity: bool = False,
     singles: bool = True,
     pairs: bool = True,
+    more: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Counts per item or pair and month from baskets and dated entities.
+    """Counts per item or pair, month and the entity columns in ``more``, from baskets and dated entities.
 
     ``span`` comes from ``catalogue_span`` and ``found`` from ``find_baskets``.
     Equal baskets of one month are counted first, so pairs are formed once per different basket
@@ -63,25 +62,25 @@ def usage_of_baskets(
     """
     dated = drop_undated(entities)
     if one_row_per_entity:
-        dated = dated.select(by, "month", (F.col(weight) if weight else F.lit(1)).alias("n"))
+        dated = dated.select(by, "month", *more, F.lit(1).alias("n"))
     else:
-        dated = merge_rows(dated, by, weight)
-    equal = dated.join(found, by).groupBy("basket", "month").agg(F.sum("n").alias("n"))
+        dated = merge_rows(dated, by, *more)
+    equal = dated.join(found, by).groupBy("basket", "month", *more).agg(F.sum("n").alias("n"))
 
-    keep = ["month", "n"]
+    keep = ["month", "n", *more]
     listed = isinstance(found.schema["basket"].dataType, ArrayType)
     if listed:
         rows = place_rows(equal, keep, singles, pairs)
     else:
         rows = mask_rows(equal, keep, span, singles, pairs)
-    counts = rows.groupBy("a", "b", "month").agg(F.sum("n").alias("lib_counts"))
+    counts = rows.groupBy("a", "b", "month", *more).agg(F.sum("n").alias("lib_counts"))
     names = catalogue.select("pos", "Libraries")
     if not listed:  # at most MASK_BITS rows
         names = F.broadcast(names)
-    return _named(counts, names, pairs)
+    return _named(counts, names, pairs, more)
 
 
-def _named(counts: DataFrame, names: DataFrame, pairs: bool) -> DataFrame:
+def _named(counts: DataFrame, names: DataFrame, pairs: bool, more: tuple[str, ...]) -> DataFrame:
     """Names in place of the places ``a`` and ``b``, the smaller name first."""
     one = names.select(F.col("pos").alias("a"), F.col("Libraries").alias("name_a"))
     named = counts.join(one, "a")
@@ -97,9 +96,10 @@ def _named(counts: DataFrame, names: DataFrame, pairs: bool) -> DataFrame:
         item_b.alias("item_b"),
         month_text(F.col("month")).alias("datetime"),
         "lib_counts",
+        *more,
     )
     key = pair_key(F.col("item_a"), F.col("item_b")).alias("library")
-    return named.select(key, "item_a", "item_b", "datetime", "lib_counts")
+    return named.select(key, "item_a", "item_b", "datetime", "lib_counts", *more)
 
 
 def monthly_usage(
@@ -110,12 +110,14 @@ def monthly_usage(
     one_row_per_entity: bool = False,
     singles: bool = True,
     pairs: bool = True,
+    more: tuple[str, ...] = (),
 ) -> DataFrame:
     """How many entity rows use each catalogued item, and each pair of them, per month.
 
     ``items`` has ``by`` and ``item``, ``entities`` has ``by`` and ``month``. An entity listed
     twice counts twice. ``one_row_per_entity`` says that ``by`` is a key of ``entities`` and saves
-    the shuffle that merges equal rows; the result does not depend on it.
+    the shuffle that merges equal rows; the result does not depend on it. Columns of the entities
+    in ``more``, such as a batch, are counted apart: one pass over the items serves them all.
     """
     span = catalogue_span(catalogue)
     found = find_baskets(items, catalogue, span, by)
@@ -128,6 +130,7 @@ def monthly_usage(
         one_row_per_entity=one_row_per_entity,
         singles=singles,
         pairs=pairs,
+        more=more,
     )
 
 
@@ -142,8 +145,11 @@ def count_number(column: str = "lib_counts") -> Column:
 
 
 def keys_present(counts: DataFrame) -> DataFrame:
-    """Items and pairs that have any count, with their months and total."""
-    return counts.groupBy("library").agg(
+    """Items and pairs that have any count, with their months and total.
+
+    Grouped by both items: a tool ``a_b`` and the pair of ``a`` and ``b`` stay apart.
+    """
+    return counts.groupBy("library", "item_a", "item_b").agg(
         F.count_distinct("datetime").alias("months"), F.sum(count_number()).alias("total")
     )
 
@@ -161,3 +167,26 @@ def drop_report(
     )
     marked = merged.join(with_item.withColumn("has_item", F.lit(True)), by, "left")
     return marked.groupBy(reason.alias("reason")).agg(F.sum("n").alias("n"))
+
+
+def file_drop_report(
+    paths: DataFrame, baskets: DataFrame, dated: DataFrame
+) -> DataFrame:
+    """Rows of files that count and that do not: ``reason``, ``n``.
+
+    ``paths`` has ``path`` and ``nb_id`` of every file, ``baskets`` the ``path`` of each file with a
+    catalogued item, and ``dated`` the relation rows with their months (``date_entities`` with
+    ``keep_undated``). A file without a relation row is one row, a file listed twice is two.
+    """
+    with_item = baskets.select("path").distinct().withColumn("has_item", F.lit(True))
+    files = paths.join(with_item, "path", "left").groupBy("nb_id", "has_item").agg(F.count("*").alias("files"))
+    listed = merge_rows(dated, "nb_id")
+    reason = (
+        F.when(F.col("n").isNull(), "no relation row")
+        .when(F.col("month").isNull(), "no date")
+        .when(F.col("has_item").isNull(), "no catalogued item")
+        .otherwise("counted")
+    )
+    rows = F.col("files") * F.coalesce("n", F.lit(1))
+    met = files.join(listed, "nb_id", "left").select(reason.alias("reason"), rows.alias("rows"))
+    return met.groupBy("reason").agg(F.sum("rows").alias("n"))

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from cotrend.functions.keys import entity_id_from_path
 from cotrend.operators.catalogue import catalogue_span
-from cotrend.operators.counts import find_baskets, usage_of_baskets
+from cotrend.operators.counts import file_drop_report, find_baskets, usage_of_baskets
 from cotrend.operators.extract import extract_imports
 from cotrend.operators.relation import date_entities
 from cotrend.sinks.increments import write_increment
 from cotrend.sources.catalogue_file import load_catalogue
-from cotrend.sources.files import read_relation, read_repo_metadata, scan_lines
+from cotrend.sources.files import read_relation, read_repo_metadata, refuse_hidden, scan_lines
 from cotrend.sources.increments import read_increments
 
 
@@ -33,6 +33,20 @@ def notebook_usage(
     return usage_of_baskets(found, dated, catalogue, span, by="nb_id")
 
 
+def notebook_drop_report(
+    lines: DataFrame, relation: DataFrame, metadata: DataFrame, catalogue: DataFrame
+) -> DataFrame:
+    """What became of the files of ``notebook_usage``: ``reason``, ``n``.
+
+    Reasons are ``no relation row``, ``no date``, ``no catalogued item`` and ``counted``, in this
+    order; every file with a line is in one of them, once for each of its relation rows.
+    """
+    span = catalogue_span(catalogue)
+    found = find_baskets(extract_imports(lines, distinct=False), catalogue, span, by="path")
+    paths = lines.select("path").distinct().withColumn("nb_id", entity_id_from_path(F.col("path")))
+    return file_drop_report(paths, found, date_entities(relation, metadata, keep_undated=True))
+
+
 def run_batch(
     spark: SparkSession,
     folders: list[str],
@@ -41,14 +55,41 @@ def run_batch(
     catalogue_path: str,
     root: str,
     batch_id: str,
+    multiline: bool = True,
 ) -> DataFrame:
-    """Process the notebook folders of a batch and store the counts; returns the stored counts."""
+    """Process the notebook folders of a batch and store the counts; returns the stored counts.
+
+    ``multiline=False`` lets many tasks read one large relation file whose fields hold no line break.
+    """
+    refuse_hidden(spark, folders)
     counts = notebook_usage(
         scan_lines(spark, folders),
-        read_relation(spark, relation_path),
+        read_relation(spark, relation_path, multiline),
         read_repo_metadata(spark, metadata_path),
         load_catalogue(spark, catalogue_path),
     )
     write_increment(counts, root, batch_id)
     stored = read_increments(spark, root)
     return stored.where(F.col("batch_id") == batch_id)
+
+
+def run_batches(
+    spark: SparkSession,
+    folders: list[str],
+    relation_path: str,
+    metadata_path: str,
+    catalogue_path: str,
+    root: str,
+    multiline: bool = True,
+) -> DataFrame:
+    """One increment per folder, with the folder's name as id; returns the stored counts of all of them.
+
+    The driver lists one folder at a time, so the number of files is bounded by the largest folder.
+    If a run stops, run it again: finished folders are replaced by the same counts.
+    """
+    ids = [folder.rstrip("/").rsplit("/", 1)[-1] for folder in folders]
+    if len(set(ids)) < len(ids):
+        raise ValueError("two folders have one name, so one batch would replace the other")
+    for folder, batch_id in zip(folders, ids):
+        run_batch(spark, [folder], relation_path, metadata_path, catalogue_path, root, batch_id, multiline)
+    return read_increments(spark, root).where(F.col("batch_id").isin(ids))

@@ -16,9 +16,9 @@ from cotrend.operators import trends as tr
 from cotrend.operators.extract import extract_imports
 from cotrend.operators.relation import date_entities, join_relation
 from cotrend.plans import tables as tb
-from cotrend.plans.batch import notebook_usage
+from cotrend.plans.batch import notebook_drop_report, notebook_usage
 from cotrend.session import scratch_path
-from cotrend.sinks.increments import append_by_key, write_increment
+from cotrend.sinks.increments import append_by_key, write_increment, write_increments
 from cotrend.sources import files
 from cotrend.sources.catalogue_file import load_catalogue
 from cotrend.sources.increments import read_increments
@@ -57,7 +57,7 @@ PARTLY_DATED = """partly AS (
 
 CHOSEN_TOOL = "NATION_0"
 CHOSEN_CATEGORY = "ASIA"
-CHOSEN_PAIR = "NATION_0_NATION_1"
+CHOSEN_PAIR = ("NATION_0", "NATION_1")
 
 
 def with_(*parts: str) -> str:
@@ -90,22 +90,34 @@ def _usage(spark: SparkSession, sf_dir: str, singles: bool = True, pairs: bool =
     )
 
 
+def _stored_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All counts, written as one increment and read again."""
+    root = scratch_path(spark, "counts")
+    write_increment(_usage(spark, sf_dir), root, "all")
+    return read_increments(spark, root)
+
+
 def _plain(counts: DataFrame) -> DataFrame:
     """Counts with '' for "no second item"."""
     return counts.withColumn("item_b", F.coalesce("item_b", F.lit("")))
 
 
-def _batches(spark: SparkSession, sf_dir: str, pairs: bool) -> dict[str, DataFrame]:
-    """The whole of the orders in two batches whose months overlap."""
-    entities = tb.entities(spark, sf_dir)
+#: Two batches named like the folders they could come from.
+FINISHED, OPEN = "orders/finished/", "orders/open 100%"
+
+
+def _batches(spark: SparkSession, sf_dir: str, pairs: bool) -> DataFrame:
+    """Counts of the whole of the orders in two batches whose months overlap, from one pass over the items."""
     finished = F.coalesce(F.col("status") == "F", F.lit(False))
-    items, catalogue = tb.items(spark, sf_dir), tb.catalogue(spark, sf_dir)
-    return {
-        name: ct.monthly_usage(
-            items, entities.where(part), catalogue, one_row_per_entity=True, pairs=pairs
-        )
-        for name, part in (("finished", finished), ("open", ~finished))
-    }
+    batch_id = F.when(finished, FINISHED).otherwise(OPEN)
+    return ct.monthly_usage(
+        tb.items(spark, sf_dir),
+        tb.entities(spark, sf_dir).withColumn("batch_id", batch_id),
+        tb.catalogue(spark, sf_dir),
+        one_row_per_entity=True,
+        pairs=pairs,
+        more=("batch_id",),
+    )
 
 
 # --- whole jobs ---------------------------------------------------------------------------------
@@ -150,24 +162,27 @@ def _source_folder() -> Column:
     return F.regexp_extract("path", "/(documents|conversations)-[^/]*/[^/]*$", 1)
 
 
-def _text_folders(spark: SparkSession, sf_dir: str) -> list[str]:
+def _text_folders(spark: SparkSession, sf_dir: str, files_each: int | None = None) -> list[str]:
     """Two tables written as folders of text files; each text ends with one newline more."""
     roots = []
     for name in ("documents", "conversations"):
         roots.append(scratch_path(spark, name))
-        tb.table(spark, sf_dir, name).select("text").write.text(roots[-1])
+        rows = tb.table(spark, sf_dir, name).select("text")
+        (rows.repartition(files_each) if files_each else rows).write.text(roots[-1])
     return roots
 
 
 @query(
-    """SELECT 'documents' AS folder, CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes FROM documents
+    """SELECT 'documents' AS folder, 4 AS files, CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes FROM documents
 UNION ALL
-SELECT 'conversations', CAST(sum(strlen(text) + 1) AS BIGINT) FROM conversations"""
+SELECT 'conversations', 4, CAST(sum(strlen(text) + 1) AS BIGINT) FROM conversations"""
 )
 def scan_file_listing(spark, sf_dir):
-    folders = _text_folders(spark, sf_dir)
+    folders = _text_folders(spark, sf_dir, files_each=4)
     listing = files.list_files(spark, [*folders, scratch_path(spark, "missing")])
-    return listing.groupBy(_source_folder().alias("folder")).agg(F.sum("length").alias("bytes"))
+    return listing.groupBy(_source_folder().alias("folder")).agg(
+        F.count("*").cast("int").alias("files"), F.sum("length").alias("bytes")
+    )
 
 
 @query("SELECT unnest(string_split(text, chr(10))) AS line FROM conversations")
@@ -202,8 +217,8 @@ GROUP BY "Libraries", "Category", pos"""
 def scan_catalogue(spark, sf_dir):
     root = scratch_path(spark, "catalogue")
     # 25 rows; a catalogue is one file, and its order counts
-    tools = tb.catalogue(spark, sf_dir).orderBy("pos").select("Libraries", "Category")
-    tools.coalesce(1).write.csv(root, header=True)
+    tools = tb.catalogue(spark, sf_dir)
+    tools.repartition(1).sortWithinPartitions("pos").select("Libraries", "Category").write.csv(root, header=True)
     catalogue = load_catalogue(spark, root)
     lines = tb.items(spark, sf_dir).groupBy("item").agg(F.count("*").alias("lines"))
     named = catalogue.join(lines, F.col("Libraries") == F.col("item"))
@@ -407,11 +422,11 @@ def cast_counts(spark, sf_dir):
 
 @query(
     ALL_WITH
-    + """SELECT library, count(DISTINCT datetime) AS months, CAST(sum(lib_counts) AS BIGINT) AS total
-FROM counts GROUP BY library"""
+    + """SELECT library, item_a, item_b, count(DISTINCT datetime) AS months, CAST(sum(lib_counts) AS BIGINT) AS total
+FROM counts GROUP BY library, item_a, item_b"""
 )
 def keys_present(spark, sf_dir):
-    return ct.keys_present(_usage(spark, sf_dir))
+    return _plain(ct.keys_present(_usage(spark, sf_dir)))
 
 
 @query(
@@ -430,6 +445,33 @@ def drop_report(spark, sf_dir):
     return ct.drop_report(tb.items(spark, sf_dir), entities, one_region)
 
 
+@query(
+    with_(USED)
+    + """SELECT reason, count(*) AS n FROM (
+  SELECT CASE WHEN o_orderkey IS NULL THEN 'no relation row'
+              WHEN last < TIMESTAMP '1998-06-01' THEN 'no date'
+              WHEN entity NOT IN (SELECT entity FROM used WHERE item IN (
+                SELECT n_name FROM nation JOIN region ON n_regionkey = r_regionkey
+                WHERE r_name = 'ASIA')) THEN 'no catalogued item'
+              ELSE 'counted' END AS reason
+  FROM (SELECT DISTINCT entity FROM used)
+  LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus <> 'P') ON entity = o_orderkey
+  LEFT JOIN (SELECT o_custkey, max(o_orderdate) AS last FROM orders GROUP BY o_custkey) USING (o_custkey))
+GROUP BY reason"""
+)
+def notebook_drop_report_(spark, sf_dir):
+    # orders of status P have no relation row; customers whose last order is old have a date of another form
+    listed = tb.table(spark, sf_dir, "orders").where(F.col("o_orderstatus") != "P")
+    relation = listed.select(
+        F.col("o_orderkey").cast("string").alias("nb_id"), F.col("o_custkey").cast("string").alias("repo_id")
+    )
+    dated = tb.customer_documents(spark, sf_dir).select("repo_id", json_text(F.col("document"), "updated_at").alias("text"))
+    text = F.when(F.col("text") < "1998-06-01", F.substring("text", 1, 10)).otherwise(F.col("text"))
+    metadata = dated.select("repo_id", text.alias("updated_at"))
+    one_region = tb.catalogue(spark, sf_dir).where(F.col("Category") == "ASIA")
+    return notebook_drop_report(tb.notebook_lines(spark, sf_dir), relation, metadata, one_region)
+
+
 # --- catalogue ----------------------------------------------------------------------------------
 
 
@@ -495,37 +537,37 @@ def catalogue_first_k(spark, sf_dir):
   UNION ALL
   SELECT a."Libraries" || '_' || b."Libraries", a."Libraries", b."Libraries"
   FROM tools a JOIN tools b ON a."Libraries" < b."Libraries")
-LEFT JOIN (SELECT library, sum(lib_counts) AS total FROM counts GROUP BY library) USING (library)"""
+LEFT JOIN (SELECT item_a, item_b, sum(lib_counts) AS total FROM counts GROUP BY item_a, item_b)
+USING (item_a, item_b)"""
 )
 def key_universe(spark, sf_dir):
-    present = ct.keys_present(_usage(spark, sf_dir)).select("library", "total")
+    present = _plain(ct.keys_present(_usage(spark, sf_dir))).select("item_a", "item_b", "total")
     keys = _plain(cat.key_universe(tb.catalogue(spark, sf_dir)))
     total = F.coalesce("total", F.lit(0).cast("bigint")).alias("total")
-    return keys.join(present, "library", "left").select("library", "item_a", "item_b", total)
+    return keys.join(present, ["item_a", "item_b"], "left").select("library", "item_a", "item_b", total)
 
 
-# --- trends -------------------------------------------------------------------------------------
+# --- trends, over a stored table ----------------------------------------------------------------
 
 
 @query(
     PAIRS_WITH
     + f"""SELECT datetime, CAST(sum(lib_counts) AS BIGINT) AS users FROM pair_counts
-WHERE library = '{CHOSEN_PAIR}' GROUP BY datetime ORDER BY datetime"""
+WHERE item_a = '{CHOSEN_PAIR[0]}' AND item_b = '{CHOSEN_PAIR[1]}' GROUP BY datetime ORDER BY datetime"""
 )
 def trend_one_key(spark, sf_dir):
-    return tr.trend(_usage(spark, sf_dir), CHOSEN_PAIR)
+    return tr.trend(_stored_usage(spark, sf_dir), *CHOSEN_PAIR)
 
 
 @query(
     with_(USED, DATED, SINGLE_COUNTS, TOOLS)
     + f"""SELECT library AS series, datetime, CAST(sum(lib_counts) AS BIGINT) AS users
 FROM single_counts JOIN (
-  SELECT "Libraries" AS library FROM tools WHERE "Category" = '{CHOSEN_CATEGORY}'
-  ORDER BY pos LIMIT 3) USING (library)
+  SELECT "Libraries" AS library FROM tools WHERE "Category" = '{CHOSEN_CATEGORY}') USING (library)
 GROUP BY library, datetime"""
 )
 def trend_by_category(spark, sf_dir):
-    counts = _usage(spark, sf_dir, pairs=False)
+    counts = _stored_usage(spark, sf_dir)
     return tr.trend_by_category(counts, tb.catalogue(spark, sf_dir), CHOSEN_CATEGORY)
 
 
@@ -535,11 +577,11 @@ def trend_by_category(spark, sf_dir):
 FROM pair_counts JOIN (
   SELECT '{CHOSEN_TOOL} + ' || "Libraries" AS series,
          least("Libraries", '{CHOSEN_TOOL}') || '_' || greatest("Libraries", '{CHOSEN_TOOL}') AS library
-  FROM tools WHERE "Category" = '{CHOSEN_CATEGORY}' ORDER BY pos LIMIT 3) USING (library)
+  FROM tools WHERE "Category" = '{CHOSEN_CATEGORY}') USING (library)
 GROUP BY series, datetime"""
 )
 def trend_pairs_by_category(spark, sf_dir):
-    counts = _usage(spark, sf_dir, singles=False)
+    counts = _stored_usage(spark, sf_dir)
     tools = tb.catalogue(spark, sf_dir)
     return tr.trend_pairs_by_category(counts, tools, CHOSEN_TOOL, CHOSEN_CATEGORY)
 
@@ -550,23 +592,28 @@ def trend_pairs_by_category(spark, sf_dir):
 @query(SINGLES_WITH + "SELECT library, datetime, lib_counts AS users FROM single_counts")
 def sink_append_roundtrip(spark, sf_dir):
     root = scratch_path(spark, "appended")
-    for counts in _batches(spark, sf_dir, pairs=False).values():
-        append_by_key(counts, root)
+    append_by_key(_batches(spark, sf_dir, pairs=False), root)
     stored = read_increments(spark, root)
     return stored.groupBy("library", "datetime").agg(F.sum("lib_counts").alias("users"))
 
 
-@query(ALL_WITH + "SELECT library, datetime, lib_counts FROM counts")
+@query(ALL_WITH + "SELECT library, item_a, item_b, datetime, lib_counts FROM counts")
 def sink_fanout_by_key(spark, sf_dir):
     root = scratch_path(spark, "by-key")
     append_by_key(_usage(spark, sf_dir), root)
-    return read_increments(spark, root).select("library", "datetime", "lib_counts")
+    return _plain(read_increments(spark, root)).select("library", "item_a", "item_b", "datetime", "lib_counts")
 
 
-@query(ALL_WITH + "SELECT library, datetime, lib_counts AS users FROM counts")
+@query(
+    ALL_WITH
+    + f"""SELECT library, item_a, item_b, datetime, lib_counts AS users,
+       '{FINISHED};{OPEN}' AS batches FROM counts"""
+)
 def increments_sum(spark, sf_dir):
     root = scratch_path(spark, "increments")
-    for name, counts in _batches(spark, sf_dir, pairs=True).items():
-        write_increment(counts, root, name)
-    stored = read_increments(spark, root)
-    return stored.groupBy("library", "datetime").agg(F.sum("lib_counts").alias("users"))
+    counts = _batches(spark, sf_dir, pairs=True)
+    write_increments(counts, root)
+    stored = _plain(read_increments(spark, root))
+    ids = stored.agg(F.array_join(F.array_sort(F.collect_set("batch_id")), ";"))
+    summed = stored.groupBy("library", "item_a", "item_b", "datetime").agg(F.sum("lib_counts").alias("users"))
+    return summed.withColumn("batches", ids.scalar())

@@ -18,14 +18,22 @@ def append_table(rows: DataFrame, url: str, table: str, properties: dict[str, st
     rows.write.options(**options).jdbc(url, table, mode="append", properties=properties)
 
 
-def append_table_per_key(counts: DataFrame, url: str, properties: dict[str, str]) -> list[str]:
+def append_table_per_key(
+    counts: DataFrame, url: str, properties: dict[str, str], max_keys: int = 10_000
+) -> list[str]:
     """Append ``datetime, lib_counts`` to one table per key present; returns the keys written.
 
-    Give stored counts (``read_increments``): each key is one write that filters them by key. The
-    list of keys is bounded by the tools and pairs of the catalogue. A key has a row per month and
-    batch, so one task and one connection write it.
+    For small catalogues: each key is one write that filters stored counts (``read_increments``).
+    With more than ``max_keys`` keys nothing is written and an error is raised; ``append_table``
+    with the key columns takes any number. So are two keys of one name, such as a tool ``a_b`` and
+    the pair of ``a`` and ``b``. A key has a row per month and batch, so one task writes it.
     """
-    keys = [row.library for row in counts.select("library").distinct().toLocalIterator()]
+    found = counts.select("library", "item_a", "item_b").distinct().limit(max_keys + 1).collect()
+    if len(found) > max_keys:
+        raise ValueError(f"more than {max_keys} keys: use append_table with the key columns")
+    keys = [row.library for row in found]
+    if len(set(keys)) < len(keys):
+        raise ValueError("two keys share a name, so their tables would be one")
     for key in sorted(keys):
         rows = counts.where(F.col("library") == key).select("datetime", "lib_counts").coalesce(1)
         append_table(

@@ -6,27 +6,53 @@ A count table has one row per key and month, so no key is large, whatever the in
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-STORED = ("library", "datetime", "lib_counts")
+#: The key is ``item_a`` and ``item_b``; ``library`` is its text, which two keys can share.
+STORED = ("item_a", "item_b", "datetime", "lib_counts")
 
 
 def append_by_key(counts: DataFrame, path: str) -> None:
-    """Append to a table with one folder per key. A second run of the same batch counts twice.
+    """Append to a table with one folder per key text. A second run of the same batch counts twice.
 
-    Each key goes to one task and so to one file; the number of tasks is set because adaptive
-    execution would gather so few rows in one task, which then writes all folders in turn.
+    For small catalogues: the number of folders grows with the square of the tools. One folder
+    gets one file per append, and as few tasks write as adaptive execution sees fit.
     """
-    tasks = counts.sparkSession.sparkContext.defaultParallelism
-    by_key = counts.select(*STORED).repartition(tasks, "library")
+    by_key = counts.select("library", *STORED).repartition("library")
     by_key.write.partitionBy("library").mode("append").parquet(path)
 
 
+# The signs that Spark's partition folders hold in percent form, and its name for NULL.
+ESCAPED = "\"#%'*/:=?\\{[]^\x7f" + "".join(map(chr, range(1, 32)))
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
+def batch_folder(root: str, batch_id: str) -> str:
+    """Folder of a batch, named as Spark names partition folders, so that reading gives the id back."""
+    if not batch_id or batch_id == NULL_FOLDER or "\0" in batch_id:
+        raise ValueError(f"not a batch id: {batch_id!r}")
+    name = "".join(f"%{ord(sign):02X}" if sign in ESCAPED else sign for sign in batch_id)
+    return f"{root.rstrip('/')}/batch_id={name}"
+
+
 def write_increment(counts: DataFrame, root: str, batch_id: str) -> None:
     """Write the counts of one batch; a second run of the batch takes the place of the first.
 
     Each batch has its own folder and is overwritten as a whole, so keys that a second run no
     longer has do not stay behind. Keys are kept together and sorted instead of foldered: few
-    files for any number of pairs, and a filter on the key still skips row groups.
+    files for any number of pairs, and a filter on the items still skips row groups.
+    """
+    by_key = counts.select(*STORED).repartition("item_a").sortWithinPartitions("item_a", "item_b", "datetime")
+    by_key.write.mode("overwrite").parquet(batch_folder(root, batch_id))
+
+
+def write_increments(counts: DataFrame, root: str) -> None:
+    """Write the counts of several batches, told apart by ``batch_id``, with one job.
+
+    Batches that occur in ``counts`` are replaced as a whole, others stay.
     """
-    by_key = counts.select(*STORED).repartition("library").sortWithinPartitions("library", "datetime")
-    by_key.write.mode("overwrite").parquet(f"{root.rstrip('/')}/batch_id={batch_id}")
+    known = counts.where(F.coalesce(F.col("batch_id"), F.lit("")) != "")
+    dealt = known.select(*STORED, "batch_id").repartition("batch_id", "item_a")
+    by_key = dealt.sortWithinPartitions("batch_id", "item_a", "item_b", "datetime")
+    writer = by_key.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("batch_id").parquet(root)

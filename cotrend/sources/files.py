@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,27 +15,42 @@ FILE_COLUMNS = "path string, length bigint"
 LINE_COLUMNS = "path string, line string"
 
 
+def _matches(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths of a file system that match a pattern."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return [status.getPath().toString() for status in found or []]
+
+
 def _read_present(
     spark: SparkSession, folders: list[str], read: Callable[[list[str]], DataFrame], columns: str
 ) -> DataFrame:
-    """Read the folders that exist. They are listed once; only when one is missing, one by one."""
+    """One scan of the folders that exist; a folder given twice is an error, as its rows would count twice."""
+    if len({folder.rstrip("/") for folder in folders}) < len(folders):
+        raise ValueError("a folder is given more than once")
     try:
         return read(folders)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-    if len(folders) == 1:
-        return spark.createDataFrame([], columns)
-    return reduce(
-        DataFrame.unionByName, [_read_present(spark, [folder], read, columns) for folder in folders]
-    )
+    present = [folder for folder in folders if _matches(spark, folder)]
+    return read(present) if present else spark.createDataFrame([], columns)
+
+
+def refuse_hidden(spark: SparkSession, folders: list[str]) -> None:
+    """An error if a notebook is hidden from Spark's readers: its name starts with ``_`` or ``.``."""
+    hidden = [path for folder in folders for path in _matches(spark, f"{folder.rstrip('/')}/[._]*.ipynb")]
+    if hidden:
+        raise ValueError(f"{len(hidden)} notebooks have hidden names, the first is {hidden[0]}")
 
 
 def list_files(spark: SparkSession, folders: list[str]) -> DataFrame:
-    """Files directly in the folders: ``path``, ``length``. A missing folder has no files.
+    """Visible, non-empty files directly in the folders: ``path``, ``length``. A missing folder has none.
 
-    Only these two columns are read, so no file is opened. Spark leaves out empty files, and files
-    whose name starts with ``_`` or ``.``.
+    Only these two columns are read, so no file is opened. Spark leaves out empty files, which have
+    no line to scan, and files whose name starts with ``_`` or ``.``; ``refuse_hidden`` finds
+    notebooks among the latter.
     """
 
     def read(paths: list[str]) -> DataFrame:

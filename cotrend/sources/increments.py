@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-SCHEMA = "datetime string, lib_counts bigint, batch_id string, library string"
+from cotrend.functions.keys import pair_key
+
+SCHEMA = "item_a string, item_b string, datetime string, lib_counts bigint, batch_id string, library string"
 
 
 def read_increments(spark: SparkSession, root: str) -> DataFrame:
     """All increments under ``root``; one month of a key may have a row per batch.
 
     Reads both layouts, with a folder per batch and with a folder per key. The schema is given, so
-    a key such as ``123`` stays text and a root of empty batches reads as an empty table.
+    a key such as ``123`` stays text, a root of empty batches reads as an empty table, and so does a
+    root that nothing was written to yet.
     """
-    rows = spark.read.schema(SCHEMA).option("basePath", root).parquet(root)
-    return rows.select("library", "datetime", "lib_counts", "batch_id")
+    try:
+        rows = spark.read.schema(SCHEMA).option("basePath", root).parquet(root)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], SCHEMA)
+    key = pair_key(rows["item_a"], rows["item_b"]).alias("library")
+    return rows.select(key, "item_a", "item_b", "datetime", "lib_counts", "batch_id")

@@ -5,7 +5,17 @@ import json
 import pytest
 
 from cotrend import __main__ as command
-from cotrend import read_increments, run_batch, trend
+from cotrend import (
+    load_catalogue,
+    notebook_drop_report,
+    read_increments,
+    read_relation,
+    read_repo_metadata,
+    run_batch,
+    run_batches,
+    scan_lines,
+    trend,
+)
 
 from .conftest import rows
 
@@ -81,6 +91,33 @@ def test_two_batches_add_up_to_one(spark, corpus):
     assert rows(trend(counts, "numpy")) == [("2017-06", 2), ("2017-07", 2)]
 
 
+def test_folders_as_batches(spark, corpus):
+    got = run_batches(spark, **arguments(corpus, ["notebooks_1", "notebooks_2"]))
+    summed = got.groupBy("library", "datetime").agg({"lib_counts": "sum"})
+    assert rows(summed) == EXPECTED
+    assert {row.batch_id for row in got.collect()} == {"notebooks_1", "notebooks_2"}
+    with pytest.raises(ValueError, match="one name"):
+        run_batches(spark, **arguments(corpus, ["notebooks_1", "notebooks_1/"]))
+
+
+def test_relation_without_line_breaks(spark, corpus):
+    relation = corpus / "notebooks.csv"
+    relation.write_text(relation.read_text().replace('"a ""b""\nc"', "x"))
+    got = run_batch(spark, batch_id="flat", multiline=False, **arguments(corpus, ["notebooks_1", "notebooks_2"]))
+    assert rows(got.select("library", "datetime", "lib_counts")) == EXPECTED
+
+
+def test_drop_report_of_files(spark, corpus):
+    paths = arguments(corpus, ["notebooks_1", "notebooks_2"])
+    report = notebook_drop_report(
+        scan_lines(spark, paths["folders"]),
+        read_relation(spark, paths["relation_path"]),
+        read_repo_metadata(spark, paths["metadata_path"]),
+        load_catalogue(spark, paths["catalogue_path"]),
+    )
+    assert dict(rows(report)) == {"no relation row": 1, "no date": 2, "no catalogued item": 1, "counted": 5}
+
+
 def test_command_line(spark, corpus):
     command.main(
         ["--folders", str(corpus / "notebooks_1"), str(corpus / "notebooks_2")]

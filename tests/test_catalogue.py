@@ -95,3 +95,26 @@ def test_span(spark, tools):
         catalogue_span(many.unionByName(many.limit(1)))
     with pytest.raises(ValueError):
         catalogue_span(tools.withColumn("pos", F.col("pos") - 1))
+
+
+@pytest.mark.parametrize("size", [3, 64, 65])
+def test_every_size_is_checked_alike(spark, size):
+    good = spark.range(size).select(
+        F.concat(F.lit("t"), "id").alias("Libraries"), F.lit("c").alias("Category"), F.col("id").cast("int").alias("pos")
+    )
+    assert catalogue_span(good) == size
+    last = F.col("pos") == size - 1
+    bad = [
+        good.withColumn("Libraries", F.when(~last, F.col("Libraries"))),
+        good.withColumn("Libraries", F.when(last, "t0").otherwise(F.col("Libraries"))),
+        good.withColumn("pos", F.when(~last, F.col("pos"))),
+        good.withColumn("pos", F.when(last, 0).otherwise(F.col("pos"))),
+    ]
+    for catalogue in bad:
+        with pytest.raises(ValueError, match="own name"):
+            catalogue_span(catalogue)
+
+
+def test_key_universe_of_scattered_places(tools):
+    far = tools.withColumn("pos", F.col("pos") * 100_000_000)
+    assert rows(key_universe(far)) == rows(key_universe(tools))

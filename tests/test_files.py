@@ -10,6 +10,7 @@ from cotrend import (
     preview,
     read_relation,
     read_repo_metadata,
+    refuse_hidden,
     scan_lines,
     urls_to_frame,
 )
@@ -41,6 +42,29 @@ def test_missing_folders_are_empty(spark, tmp_path):
     assert scan_lines(spark, missing).collect() == []
 
 
+def test_present_folders_are_one_scan(spark, tmp_path):
+    folders = [tmp_path / name for name in ("a", "b", "c")]
+    for folder in (folders[0], folders[2]):
+        folder.mkdir()
+        (folder / "nb_1.ipynb").write_text("x\ny")
+    lines = scan_lines(spark, [str(f) for f in folders])
+    assert lines.count() == 4 and plan(lines).split("== Physical Plan ==")[1].count("FileScan") == 1
+
+
+def test_a_repeated_folder_is_refused(spark, tmp_path):
+    for read in (list_files, scan_lines):
+        with pytest.raises(ValueError, match="more than once"):
+            read(spark, [str(tmp_path), str(tmp_path) + "/"])
+
+
+def test_hidden_notebooks_are_refused(spark, tmp_path):
+    (tmp_path / "_SUCCESS").write_text("")
+    refuse_hidden(spark, [str(tmp_path), str(tmp_path / "missing")])
+    (tmp_path / ".nb_1.ipynb").write_text("x")
+    with pytest.raises(ValueError, match="hidden"):
+        refuse_hidden(spark, [str(tmp_path)])
+
+
 def test_only_a_missing_path_counts_as_empty(spark):
     with pytest.raises(Exception) as error:
         list_files(spark, ["nosuchscheme://x/y"])

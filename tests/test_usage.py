@@ -168,4 +168,4 @@ def test_keys_present_and_text_counts(spark):
     items, entities, catalogue = frames(spark, ITEMS, ENTITIES, ["numpy", "pandas", "keras"])
     text = counts_as_text(monthly_usage(items, entities, catalogue))
     assert text.schema["lib_counts"].dataType.simpleString() == "string"
-    assert ("keras_numpy", 2, 4) in rows(keys_present(text))
+    assert ("keras_numpy", "keras", "numpy", 2, 4) in rows(keys_present(text))
