@@ -141,8 +141,10 @@ def twice_seen(docs: DataFrame, slices: int, log_bits: int) -> list[Bloom]:
 def find_repeats(docs: DataFrame, min_docs: int, max_filter_bits: int = 1 << 27) -> DataFrame:
     """``doc_id``, ``key`` of every line key that at least ``min_docs`` documents hold, with its first occurrence.
 
-    ``first_doc`` and ``first_line`` say where the key comes first.
+    ``first_doc`` and ``first_line`` say where the key comes first. ``min_docs`` is 2 or more.
     """
+    if min_docs < 2:
+        raise ValueError("a repeated line is in two documents at least")
     rows = texts(docs)
     breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
     lines = rows.agg(F.sum(breaks + 1)).first()[0] or 0

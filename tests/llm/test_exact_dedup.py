@@ -1,0 +1,58 @@
+import hashlib
+import random
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cotrend.llm import exact_dedup
+
+from .conftest import WORDS
+
+
+def brute(rows):
+    groups = defaultdict(list)
+    for doc_id, text, *_ in rows:
+        groups[re.sub("[\x20\x09-\x0d]+", " ", text or "")].append(doc_id)
+    return sorted((i, min(ids), len(ids), hashlib.sha256(t.encode()).hexdigest()) for t, ids in groups.items() for i in ids)
+
+
+def result(df, incoming, **options):
+    found = exact_dedup.find_copies(df, incoming, **options)
+    rows = found.select("doc_id", "keep_id", "group_size", F.lower(F.hex("digest"))).collect()
+    return sorted(tuple(r) for r in rows)
+
+
+random.seed(7)
+ROWS = [(i, " ".join(random.choices(WORDS[:4], k=2)), "en", "a") for i in range(120)]
+ROWS += [(500, None, None, None), (501, "", "en", "a"), (502, " \n", "en", "a"), (503, "\t", "en", "a"), (504, "É", "x", "x")]
+ROWS += [(600 + i, "hot  copy\n", "en", "a") for i in range(90)] + [(700, "alpha beta", "en", "a"), (700, "alpha beta", "en", "a")]
+ROWS.append((800, "word " * 60_000, "en", "a"))
+
+
+@pytest.mark.parametrize("incoming", ["pmod(doc_id, 2) = 1", "true", "false", "cast(null as boolean)", "doc_id > 600"])
+def test_against_brute_force(documents, incoming):
+    assert result(documents(ROWS), F.expr(incoming)) == brute(ROWS)
+
+
+def test_colliding_digests_are_told_apart_by_bytes(documents):
+    weak = lambda text: F.unhex(F.sha2(F.substring(text, 1, 1), 256))
+    got = [(i, keep, n) for i, keep, n, _ in result(documents(ROWS), F.col("doc_id") % 2 == 1, digest_of=weak)]
+    assert sorted(got) == sorted((i, keep, n) for i, keep, n, _ in brute(ROWS))
+
+
+def test_empty_table(documents):
+    assert result(documents([]), F.lit(True)) == []
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 10, 1000, 60_000])
+def test_fuse_filter(n):
+    keys = np.random.default_rng(n).integers(0, 1 << 63, n).astype(np.uint64)
+    built = exact_dedup.FuseFilter.build(np.concatenate([keys, keys[: n // 2]]))
+    assert built.holds(keys).all()
+    others = np.random.default_rng(n + 1).integers(0, 1 << 63, 20_000).astype(np.uint64)
+    assert built.holds(others).mean() < (0.01 if n >= 1000 else 0.2)
+    if n >= 60_000:
+        assert len(built.cells) < 1.3 * n
