@@ -1,0 +1,87 @@
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from tokenizers import Tokenizer
+
+import corpus_pipeline as pipeline
+
+from .conftest import WORDS
+from .test_jaccard_join import brute as near_brute
+from .test_line_dedup import brute as line_brute
+from .test_mixing import targets
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def make(n=120):
+    random.seed(11)
+    sentence = lambda k: " ".join(random.choice(WORDS) for _ in range(k)).capitalize() + "."
+    rows = []
+    for i in range(n):
+        lines = [sentence(random.randint(5, 15)) for _ in range(random.randint(1, 6))]
+        if i % 4 == 0:
+            lines.insert(0, "Shared by very many documents.")
+        text = "\n".join(lines)
+        rows.append((i, rows[-1][1] if i % 10 == 5 else text, "en", random.choice(["a", "b", "c", None])))
+    return rows + [(500, None, None, None), (501, "", "en", "a"), (502, "word " * 40_000, "en", "b"), (3, rows[3][1], "en", "a"), (3, "Another text of this id.", "en", "a")]
+
+
+def rows_of(df):
+    return sorted((r.doc_id, r.text) for r in df.collect())
+
+
+def test_stages_take_effect_and_keep_the_columns(spark, documents):
+    rows = make()
+    docs = documents(rows)
+    columns = list(pipeline.COLUMNS)
+
+    kept = pipeline.keep_quality(spark, docs, SF_DIR)
+    assert kept.columns == columns and 0 < kept.count() <= len(rows)
+
+    lines = pipeline.drop_lines(spark, docs, SF_DIR)
+    assert lines.columns == columns
+    expected = line_brute(rows, 10)
+    # a null text comes back as the empty text
+    assert rows_of(lines) == sorted((d, t) for d, _, _, t in expected)
+    assert all(r.n_chars == len(r.text) for r in lines.where("text <> ''").collect())
+
+    near = pipeline.drop_near_copies(spark, docs, SF_DIR)
+    assert near.columns == columns
+    stays = {d for d, _, component in near_brute(rows, 5, 80) if d == component}
+    gone = {d for d, _, component in near_brute(rows, 5, 80) if d != component}
+    assert {d for d, _ in rows_of(near)} == stays - gone
+    counts = Counter(d for d, _ in rows_of(near))
+    assert counts[3] == 2 and all(n == 1 for d, n in counts.items() if d != 3)
+
+    single = [r for r in rows if r[0] != 3]
+    # a document of nearly all words of its source could only be taken whole
+    short = [r for r in single if r[0] != 502]
+    mixed = pipeline.mix_sources(spark, documents(short), SF_DIR)
+    assert mixed.columns == columns
+    size = {i: len((t or "").split()) for i, t, *_ in short}
+    per_source, taken = defaultdict(int), defaultdict(int)
+    for i, _, _, source in short:
+        per_source[source] += size[i]
+    copies = Counter(r.doc_id for r in mixed.collect())
+    for i, _, _, source in short:
+        taken[source] += copies[i] * size[i]
+    assert max(copies.values()) <= 2
+    for source, target in targets(per_source).items():
+        assert abs(taken[source] - target) <= max(5, 0.02 * target)
+
+    encoded = {r.doc_id: r for r in pipeline.encode_texts(spark, documents(single), SF_DIR).collect()}
+    library = Tokenizer.from_file(pipeline.BPE_FILE)
+    for i, text, *_ in single:
+        assert encoded[i].ids == library.encode(text or "", add_special_tokens=False).ids and encoded[i].n_tokens == len(encoded[i].ids)
+
+
+def test_run(spark):
+    result = pipeline.run(spark, SF_DIR)
+    assert result.columns == ["doc_id", "n_tokens", "ids"] and result.count() > 100
+    assert [name for name, _ in pipeline.STAGES] == ["quality", "line_dedup", "near_duplicates", "mixing", "bpe"]
+
+
+@pytest.mark.parametrize("stage", [f for _, f in pipeline.STAGES], ids=[n for n, _ in pipeline.STAGES])
+def test_empty_table(spark, documents, stage):
+    assert stage(spark, documents([]), SF_DIR).count() == 0
