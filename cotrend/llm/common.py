@@ -39,20 +39,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def screen_bits(rows: DataFrame, key: Column, keys: DataFrame, log_bits: int = 22) -> DataFrame:
-    """Rows whose 64-bit hash ``key`` may be in the only column of ``keys``: no right row is lost, a few wrong ones stay.
+def flag_bits(rows: DataFrame, key: Column, keys: DataFrame, name: str, log_bits: int = 22) -> DataFrame:
+    """``rows`` with a boolean column ``name``: whether the 64-bit hash ``key`` may be in the only column of ``keys``.
 
-    The keys become a bit set of fixed size, ``2 ** log_bits`` bits in at most ``2 ** (log_bits - 6)`` rows of 16 bytes.
-    That bound holds for any number of keys, so these rows are broadcast; with very many keys all rows pass.
+    Never false for a key that is there; true for a few that are not. The keys become a bit set of fixed size,
+    ``2 ** log_bits`` bits in at most ``2 ** (log_bits - 6)`` rows of 16 bytes. That bound holds for any number of keys, so
+    these rows are broadcast; with very many keys all flags are true.
     """
     place = lambda c: F.shiftrightunsigned(c, 64 - log_bits)
     of_key = place(F.col(keys.columns[0]))
     one = F.call_function("shiftleft", F.lit(1).cast("long"), (of_key % 64).cast("int"))
     words = keys.groupBy(F.shiftright(of_key, 6).alias("_word")).agg(F.bit_or(one).alias("_mask"))
     held = rows.withColumn("_place", place(key))
-    met = held.join(F.broadcast(words), F.shiftright("_place", 6) == F.col("_word"))
+    met = held.join(F.broadcast(words), F.shiftright("_place", 6) == F.col("_word"), "left")
     bit = F.call_function("getbit", F.col("_mask"), (F.col("_place") % 64).cast("int"))
-    return met.where(bit == 1).select(*rows.columns)
+    return met.select(*[F.col(f"`{c}`") for c in rows.columns], F.coalesce(bit == 1, F.lit(False)).alias(name))
+
+
+def screen_bits(rows: DataFrame, key: Column, keys: DataFrame, log_bits: int = 22) -> DataFrame:
+    """The rows whose key may be in ``keys``: no right row is lost, a few wrong ones stay."""
+    return flag_bits(rows, key, keys, "_may", log_bits).where("_may").drop("_may")
 
 
 _shipped: set[str] = set()
@@ -78,16 +84,23 @@ def ship_package(spark: SparkSession) -> None:
 def map_batches(
     df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
-    """``function`` on Arrow batches of at most ``ROWS_AT_ONCE`` rows, so that outputs stay small."""
+    """``function`` on parts of the Arrow batches, of bounded rows and bytes, so that what is made of them stays small."""
 
     ship_package(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
-                yield from function(batch.slice(start, ROWS_AT_ONCE))
+            for part in in_parts(batch):
+                yield from function(part)
 
     return df.mapInArrow(run, schema)
 
 
 ROWS_AT_ONCE = 1000
+BYTES_AT_ONCE = 8 << 20
+
+
+def in_parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    rows = max(1, min(ROWS_AT_ONCE, batch.num_rows * BYTES_AT_ONCE // max(1, batch.nbytes)))
+    for start in range(0, batch.num_rows, rows):
+        yield batch.slice(start, rows)

@@ -15,7 +15,8 @@ these are verified, most members of a group of near copies are connected. Then e
 two components is verified. Pairs inside a component need no test, as only reachability is asked for. No step lists all
 pairs of a group, and no link between two components is missed.
 
-Size: the order of frequent hashes is a bit set of fixed size; any bit set gives the same result. Texts are read three times
+Size: the order of frequent hashes is a bit set of fixed size (2 MiB); any bit set gives the same result, and as what counts
+as frequent grows with the mean, it never fills up. Texts are read three times
 (frequent hashes, features, sets of surviving pairs) instead of storing their sets.
 
 Cases: null, empty and white-space texts have an empty set and are linked with nothing; a text with fewer words than a
@@ -35,20 +36,22 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cotrend.llm.common import map_batches, screen_bits, ship_package, stored
+from cotrend.llm.common import flag_bits, in_parts, map_batches, screen_bits, ship_package, stored
 from cotrend.llm.components import components
 
 BYTES_AT_ONCE = 1 << 21
 HASHES_PER_SLICE = 1 << 20
-#: A hash that so many documents have near their smallest ones counts as frequent.
-FREQUENT = 32
-FREQUENT_BITS = 22
+#: A hash is frequent if so many documents, and ``OVER_MEAN`` times the mean of all places, have it near their smallest ones.
+FREQUENT = 16
+OVER_MEAN = 4
+FREQUENT_BITS = 24
+SLICE_BITS = 4
 #: Buckets up to this size are listed as pairs.
 SMALL_BUCKET = 16
 TILE = 1024
 LEAF = 32
 LEAST_GROUPS = 64
-MOST_GROUPS = 4096
+MOST_GROUPS = 1 << 15
 
 #: A-Z to a-z and white space to a space.
 PLAIN = bytes(32 if b in b" \t\n\x0b\x0c\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -128,31 +131,26 @@ def needed(n_a, n_b, percent: int):
 
 
 def frequent_hashes(docs: DataFrame, words: int, percent: int) -> np.ndarray:
-    """A bit set of the hashes that ``FREQUENT`` documents or more have near their smallest ones."""
-    slices = max(8, docs.sparkSession.sparkContext.defaultParallelism)
+    """A bit set of the places of hashes that many documents have near their smallest ones."""
+    slices = 1 << SLICE_BITS
+    in_slice = FREQUENT_BITS - SLICE_BITS
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         size = 0
 
         def sent() -> Iterator[pa.RecordBatch]:
-            found, counts = np.unique(np.concatenate(held), return_counts=True)
-            part = (found % np.uint64(slices)).astype(np.int32)
-            for number in np.unique(part):
-                own = part == number
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([number], pa.int32()),
-                        pa.array([found[own].tobytes()], pa.binary()),
-                        pa.array([counts[own].astype(np.uint32).tobytes()], pa.binary()),
-                    ],
-                    ["slice", "hashes", "counts"],
-                )
-
-        for batch in batches:
-            for own in sets_in_parts([t or "" for t in batch.column("text").to_pylist()], words):
-                few = own[: prefix_length(len(own), percent) + len(own) // 10]
-                held.append(few)
+            places, counts = np.unique(np.concatenate(held), return_counts=True)
+            ends = np.searchsorted(places, np.arange(1, slices + 1) << in_slice)
+            for number, (a, b) in enumerate(zip([0, *ends[:-1]], ends)):
+                packed = [places[a:b].astype(np.uint32).tobytes(), np.minimum(counts[a:b], 255).astype(np.uint8).tobytes()]
+                columns = [pa.array([number], pa.int32())] + [pa.array([x], pa.binary()) for x in packed]
+                yield pa.RecordBatch.from_arrays(columns, ["slice", "places", "counts"])
+
+        for part in (p for batch in batches for p in in_parts(batch)):
+            for own in sets_in_parts([t or "" for t in part.column("text").to_pylist()], words):
+                few = own[: prefix_length(len(own), percent) + len(own) // 20]
+                held.append(few >> np.uint64(64 - FREQUENT_BITS))
                 size += len(few)
                 if size >= HASHES_PER_SLICE:
                     yield from sent()
@@ -161,33 +159,52 @@ def frequent_hashes(docs: DataFrame, words: int, percent: int) -> np.ndarray:
             yield from sent()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Counts per bit: hashes that share a bit are frequent together, which only changes the order."""
-        total = np.zeros(1 << FREQUENT_BITS, np.uint32)
+        """Hashes that share a place are frequent together, which only changes the order."""
+        totals: dict[int, np.ndarray] = {}
         for batch in batches:
-            for hashes, counts in zip(batch.column("hashes").to_pylist(), batch.column("counts").to_pylist()):
-                place = (np.frombuffer(hashes, np.uint64) >> np.uint64(64 - FREQUENT_BITS)).astype(np.int64)
-                np.add.at(total, place, np.frombuffer(counts, np.uint32))
-        bits = np.packbits(total >= FREQUENT, bitorder="little")
-        yield pa.RecordBatch.from_arrays([pa.array([bits.tobytes()])], ["bits"])
+            for number, places, counts in zip(*[batch.column(i).to_pylist() for i in range(3)]):
+                total = totals.setdefault(number, np.zeros(1 << in_slice, np.uint32))
+                own = np.frombuffer(places, np.uint32).astype(np.int64) - (number << in_slice)
+                total[own] += np.frombuffer(counts, np.uint8)  # places of one message differ
+        for number, total in totals.items():
+            often = total >= FREQUENT + OVER_MEAN * total.mean()
+            bits = np.packbits(often, bitorder="little").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([bits])], ["slice", "bits"])
 
     ship_package(docs.sparkSession)
-    hashed = docs.select("text").mapInArrow(collect, "slice int, hashes binary, counts binary")
-    counted = hashed.repartition(slices, "slice").mapInArrow(count, "bits binary")
-    bits = np.zeros(1 << (FREQUENT_BITS - 3), np.uint8)
-    for row in counted.collect():  # one bit set of fixed size per slice
-        bits |= np.frombuffer(row["bits"], np.uint8)
-    return bits
+    sent = docs.select("text").mapInArrow(collect, "slice int, places binary, counts binary")
+    counted = sent.repartition(slices, "slice").mapInArrow(count, "slice int, bits binary")
+    bits = np.zeros((slices, 1 << (in_slice - 3)), np.uint8)
+    for row in counted.collect():  # a bit set of fixed size in all
+        bits[row["slice"]] = np.frombuffer(row["bits"], np.uint8)
+    return bits.ravel()
+
+
+def group_counts(own: np.ndarray) -> bytes:
+    """The count vector, packed; about one or two groups per hash, always a power of two.
+
+    The first byte tells the width: 0 for two counts in a byte, 1 for one in a byte, 4 for four bytes each.
+    """
+    groups = min(MOST_GROUPS, max(LEAST_GROUPS, 1 << len(own).bit_length()))
+    counts = np.bincount((own & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+    most = counts.max()
+    if most < 16:
+        return b"\0" + (counts[0::2] | counts[1::2] << 4).astype(np.uint8).tobytes()
+    kind = np.uint8 if most < 256 else np.int32
+    return bytes([np.dtype(kind).itemsize]) + counts.astype(kind).tobytes()
 
 
-def group_counts(own: np.ndarray) -> np.ndarray:
-    """The count vector; longer sets have more groups, always a power of two."""
-    groups = min(MOST_GROUPS, max(LEAST_GROUPS, 1 << max(0, (len(own) // 2).bit_length())))
-    return np.bincount((own & np.uint64(groups - 1)).astype(np.int64), minlength=groups).astype(np.int32)
+def counts_of(packed: bytes) -> np.ndarray:
+    """The vector that ``group_counts`` packed."""
+    if packed[0] == 4:
+        return np.frombuffer(packed, np.int32, offset=1)
+    raw = np.frombuffer(packed, np.uint8, offset=1)
+    return raw if packed[0] == 1 else np.column_stack([raw & 15, raw >> 4]).ravel()
 
 
 def folded(counts: np.ndarray, groups: int) -> np.ndarray:
     """Count vectors (rows) with fewer groups: places that agree in their low bits are added."""
-    return counts.reshape(*counts.shape[:-1], -1, groups).sum(axis=-2)
+    return counts.reshape(*counts.shape[:-1], -1, groups).sum(axis=-2, dtype=np.int32)
 
 
 def features(docs: DataFrame, words: int, percent: int, bits: np.ndarray) -> DataFrame:
@@ -205,7 +222,7 @@ def features(docs: DataFrame, words: int, percent: int, bits: np.ndarray) -> Dat
             digests.append(xxhash.xxh3_128_digest(own.tobytes()))
             light.append(first.tobytes())
             heavy.append(own[often][: n - len(first)].view(np.int64))
-            counts.append(group_counts(own).tobytes())
+            counts.append(group_counts(own))
         columns = [pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()), pa.array(light, pa.binary())]
         columns += [pa.array(heavy, pa.list_(pa.int64())), pa.array(counts, pa.binary())]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n", "digest", "light", "heavy", "counts"])
@@ -229,6 +246,8 @@ def deal_light(sets: DataFrame, slices: int) -> DataFrame:
             nodes = np.repeat(batch.column("row").to_numpy(), lengths)
             sizes = np.repeat(batch.column("n").to_numpy(), lengths)
             part = (flat % np.uint64(slices)).astype(np.int32)
+            # 32 bits tell the hashes of a slice apart; the few that meet by chance are ruled out like others
+            flat = (flat >> np.uint64(32)).astype(np.uint32)
             order = np.argsort(part, kind="stable")
             found, starts = np.unique(part[order], return_index=True)
             ends = np.append(starts[1:], len(order))
@@ -244,7 +263,7 @@ def deal_light(sets: DataFrame, slices: int) -> DataFrame:
 def meet_light(dealt: DataFrame, percent: int) -> DataFrame:
     """Buckets of light hashes: pairs (``hash`` null, ``a``, ``b``) of small ones, members (``hash``, ``a``) of others."""
 
-    def buckets(hashes: np.ndarray, nodes: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def buckets(number: int, hashes: np.ndarray, nodes: np.ndarray, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
         order = np.lexsort((nodes, hashes))
         hashes, nodes, sizes = hashes[order], nodes[order], sizes[order].astype(np.int64)
         starts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
@@ -263,7 +282,7 @@ def meet_light(dealt: DataFrame, percent: int) -> DataFrame:
         none = pa.nulls(len(both), pa.int64())
         for key, a, b in (
             (none, both[:, 0], pa.array(both[:, 1])),
-            (pa.array(hashes[big].view(np.int64)), nodes[big], pa.nulls(int(big.sum()), pa.int64())),
+            (pa.array((hashes[big].astype(np.int64) << 24) + number), nodes[big], pa.nulls(int(big.sum()), pa.int64())),
         ):
             if len(a):
                 yield pa.RecordBatch.from_arrays([key, pa.array(a), b], ["hash", "a", "b"])
@@ -273,15 +292,15 @@ def meet_light(dealt: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             for number, *packed in zip(*[batch.column(i).to_pylist() for i in range(4)]):
                 if number != now and held:
-                    yield from buckets(*joined(held))
+                    yield from buckets(now, *joined(held))
                     held = []
                 now = number
                 held.append(packed)
         if held:
-            yield from buckets(*joined(held))
+            yield from buckets(now, *joined(held))
 
     def joined(held: list[list[bytes]]) -> list[np.ndarray]:
-        kinds = (np.uint64, np.int64, np.int32)
+        kinds = (np.uint32, np.int64, np.int32)
         return [np.frombuffer(b"".join(x[i] for x in held), kind) for i, kind in enumerate(kinds)]
 
     return dealt.mapInArrow(meet, "hash long, a long, b long")
@@ -295,14 +314,15 @@ def within(lengths: np.ndarray) -> np.ndarray:
 
 def surviving_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (``a``, ``b``) whose count vectors allow the needed overlap."""
-    of = sets.select("row", "n", "counts")
+    ends = pairs.select(F.xxhash64("a").alias("key")).union(pairs.select(F.xxhash64("b")))
+    of = screen_bits(sets.select("row", "n", "counts"), F.xxhash64("row"), ends)
     met = pairs.join(of.toDF("a", "n_a", "counts_a"), "a").join(of.toDF("b", "n_b", "counts_b"), "b")
 
     def bound(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         keep = np.zeros(batch.num_rows, bool)
         columns = [batch.column(n).to_pylist() for n in ("n_a", "n_b", "counts_a", "counts_b")]
         for i, (n_a, n_b, raw_a, raw_b) in enumerate(zip(*columns)):
-            x, y = np.frombuffer(raw_a, np.int32), np.frombuffer(raw_b, np.int32)
+            x, y = counts_of(raw_a), counts_of(raw_b)
             groups = min(len(x), len(y))
             keep[i] = np.minimum(folded(x, groups), folded(y, groups)).sum() >= needed(n_a, n_b, percent)
         yield batch.select(["a", "b"]).filter(pa.array(keep))
@@ -311,14 +331,15 @@ def surviving_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFram
 
 
 def packed_leaves(points: np.ndarray) -> list[np.ndarray]:
-    """Leaves of an R-tree: points halved again and again along the coordinate that varies most."""
+    """Leaves of an R-tree: points halved again and again along the coordinate (of 64) that varies most."""
+    some = np.unique(np.linspace(0, points.shape[1] - 1, 64).astype(int))
     todo, leaves = [np.arange(len(points))], []
     while todo:
         own = todo.pop()
         if len(own) <= LEAF:
             leaves.append(own)
             continue
-        axis = int(np.argmax(points[own].var(axis=0)))
+        axis = some[int(np.argmax(points[np.ix_(own, some)].var(axis=0)))]
         order = own[np.argsort(points[own, axis], kind="stable")]
         todo += [order[: len(order) // 2], order[len(order) // 2 :]]
     return leaves
@@ -336,9 +357,9 @@ def tile_survivors(n: np.ndarray, points: np.ndarray, side: np.ndarray, percent:
     two_blocks = side.min() != side.max()
     for k, leaf in enumerate(leaves):
         # no pair below two nodes can overlap by more than the sum of the smaller of their largest coordinates
-        can = np.minimum(most[k], most[k:]).sum(axis=1) >= needed(least_n[k], least_n[k:], percent)
+        can = np.minimum(most[k], most[k:]).sum(axis=1, dtype=np.int64) >= needed(least_n[k], least_n[k:], percent)
         for other in (leaves[k + j] for j in np.flatnonzero(can)):
-            low = np.minimum(points[leaf][:, None, :], points[other][None, :, :]).sum(axis=2)
+            low = np.stack([np.minimum(p, points[other]).sum(axis=1, dtype=np.int64) for p in points[leaf]])
             surplus = low / np.maximum(needed(n[leaf][:, None], n[other][None, :], percent), 1)
             small = np.minimum(n[leaf][:, None], n[other][None, :])
             large = np.maximum(n[leaf][:, None], n[other][None, :])
@@ -353,6 +374,34 @@ def tile_survivors(n: np.ndarray, points: np.ndarray, side: np.ndarray, percent:
     return np.minimum(a, b), np.maximum(a, b), surplus
 
 
+def search_by_size(
+    n: np.ndarray, packed: list[bytes], side: np.ndarray, percent: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``tile_survivors`` band by band: sizes of a band and the next, so that all vectors have about as many groups.
+
+    Sets that link differ in size by ``100 / percent`` at most, which is the width of a band.
+    """
+    band = np.floor(np.log(n) / np.log(max(100 / percent, 1.01) * 1.0001)).astype(int)
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+    for number in np.unique(band):
+        own = np.flatnonzero((band == number) | (band == number + 1))
+        if len(own) < 2:
+            continue
+        counts = [counts_of(packed[i]) for i in own]
+        groups = min(map(len, counts))
+        points = np.zeros((len(own), groups), np.uint8)
+        for k, vector in enumerate(counts):
+            vector = folded(vector, groups)
+            if vector.max() > 255 and points.dtype == np.uint8:
+                points = points.astype(np.int32)
+            points[k] = vector
+        a, b, surplus = tile_survivors(n[own], points, side[own], percent)
+        here = (band[own[a]] == number) | (band[own[b]] == number)
+        found.append((own[a[here]], own[b[here]], surplus[here]))
+    a, b, surplus = (np.concatenate(x) for x in zip(*found))
+    return np.minimum(a, b), np.maximum(a, b), surplus
+
+
 def forest(a: np.ndarray, b: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
     """Places of a spanning forest, heaviest pairs first."""
     parent = list(range(n))
@@ -374,6 +423,17 @@ def forest(a: np.ndarray, b: np.ndarray, weight: np.ndarray, n: int) -> np.ndarr
     return np.array(chosen, np.int64)
 
 
+def merge_buckets(members: DataFrame) -> DataFrame:
+    """Buckets (``hash``, ``row``) with one smallest member as one bucket, under that member.
+
+    Near copies meet in many buckets of nearly the same members; merged, each of them is listed once.
+    """
+    members = stored(members, "members")
+    sizes = members.groupBy("hash").agg(F.min("row").alias("least"), F.count("*").alias("members"))
+    least = stored(sizes.where(F.col("members") > 1).select("hash", "least"), "buckets")
+    return members.join(least, "hash").select(F.col("least").alias("hash"), "row").distinct()
+
+
 def tiles_of(members: DataFrame) -> DataFrame:
     """``hash``, ``low``, ``high``, ``row``, ``block``: each member of a bucket in every tile of its block.
 
@@ -388,29 +448,33 @@ def tiles_of(members: DataFrame) -> DataFrame:
     return other.select("hash", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "row", "block")
 
 
-def tile_pairs(tiles: DataFrame, sets: DataFrame, percent: int, labels: DataFrame | None) -> DataFrame:
-    """Pairs (``a``, ``b``) out of tiles: a forest of the survivors, or with ``labels`` all survivors between labels."""
-    met = tiles.join(sets.select("row", "n", "counts"), "row")
+def tile_pairs(tiles: DataFrame, sets: DataFrame, percent: int, labels: DataFrame | None = None) -> DataFrame:
+    """Pairs (``a``, ``b``) of each tile: a forest of the survivors, or with ``labels`` all survivors between labels.
+
+    ``more`` tells tiles whose forest leaves survivors out; only those need a second search.
+    """
+    of = screen_bits(sets.select("row", "n", "counts"), F.xxhash64("row"), tiles.select(F.xxhash64("row").alias("key")))
+    met = tiles.join(of, "row")
     if labels is None:
         met = met.withColumn("label", F.lit(0).cast("long"))
     else:
         met = met.join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("label", F.coalesce("label", "row"))
     ship_package(tiles.sparkSession)
-    all_pairs = labels is not None
+    between = labels is not None
 
     def find(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("row", kind="stable")
         rows, label = group["row"].to_numpy(), group["label"].to_numpy()
-        if all_pairs and label.min() == label.max():
-            return pd.DataFrame({"a": rows[:0], "b": rows[:0]})
-        counts = [np.frombuffer(x, np.int32) for x in group["counts"]]
-        groups = min(map(len, counts))
-        points = np.stack([folded(c, groups) for c in counts])
-        a, b, surplus = tile_survivors(group["n"].to_numpy(np.int64), points, group["block"].to_numpy(), percent)
-        keep = np.flatnonzero(label[a] != label[b]) if all_pairs else forest(a, b, surplus, len(rows))
-        return pd.DataFrame({"a": rows[a[keep]], "b": rows[b[keep]]})
+        a = b = keep = np.zeros(0, np.int64)
+        if not between or label.min() != label.max():
+            sizes, blocks = group["n"].to_numpy(np.int64), group["block"].to_numpy()
+            a, b, surplus = search_by_size(sizes, group["counts"].tolist(), blocks, percent)
+            keep = np.flatnonzero(label[a] != label[b]) if between else forest(a, b, surplus, len(rows))
+        key = {name: group[name].iloc[0] for name in ("hash", "low", "high")}
+        return pd.DataFrame({"a": rows[a[keep]], "b": rows[b[keep]], "more": len(keep) < len(a), **key})
 
-    return met.groupBy("hash", "low", "high").applyInPandas(find, "a long, b long").distinct()
+    schema = "a long, b long, more boolean, hash long, low int, high int"
+    return met.groupBy("hash", "low", "high").applyInPandas(find, schema)
 
 
 def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
@@ -428,11 +492,12 @@ def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame, words: int, perce
         hashes = pa.array([x.tobytes() for x in own], pa.binary())
         yield pa.RecordBatch.from_arrays([digests, hashes], ["digest", "hashes"])
 
-    # the bit set lets some other documents pass; asked digests are of different sets, so each finds its hashes by digest
-    hashed = map_batches(few.select("text"), hash_texts, "digest binary, hashes binary")
-    whole = hashed.join(asked.select("row", "digest"), "digest").dropDuplicates(["row"]).select("row", "hashes")
-    whole = stored(whole, "sets")
-    met = pairs.join(whole.toDF("a", "left"), "a").join(whole.toDF("b", "right"), "b")
+    # asked digests are of different sets, so each finds its hashes by digest, whichever copy they come from
+    hashed = map_batches(few.select("text"), hash_texts, "digest binary, hashes binary").dropDuplicates(["digest"])
+    # both joins read the one shuffle of the sets by digest
+    of = asked.select("row", "digest")
+    ends = pairs.join(of.toDF("a", "digest_a"), "a").join(of.toDF("b", "digest_b"), "b")
+    met = ends.join(hashed.toDF("digest_a", "left"), "digest_a").join(hashed.toDF("digest_b", "right"), "digest_b")
 
     def overlap(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         keep = []
@@ -449,23 +514,32 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
     """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id`` (the smallest doc_id it reaches by links)."""
     bits = frequent_hashes(docs, words, percent)
     every = features(docs, words, percent, bits)
-    classes = stored(every.where("n > 0").groupBy("digest").agg(F.min("row").alias("node"), F.min("doc_id").alias("first")), "classes")
-    own = every.join(classes.select(F.col("node").alias("row")), "row", "left_semi")
-    sets = stored(own.select("row", "doc_id", "n", "digest", "light", "heavy", "counts"), "sets")
+    sizes = every.where("n > 0").groupBy("digest").agg(
+        F.min("row").alias("node"), F.min("doc_id").alias("first"), F.count("*").alias("rows")
+    )
+    classes = stored(sizes, "classes")
+    # only sets that may have copies meet their class; the others stay where they are
+    copied = classes.where("rows > 1")
+    flagged = flag_bits(every.where("n > 0"), F.xxhash64("digest"), copied.select(F.xxhash64("digest").alias("key")), "copied")
+    single = flagged.where("not copied")
+    chosen = flagged.where("copied").join(classes.select(F.col("node").alias("row")), "row", "left_semi")
+    sets = single.unionByName(stored(chosen.select(single.columns), "chosen")).drop("copied")
     total = sets.agg(F.sum(F.octet_length("light"))).first()[0] or 0
     slices = max(1, -(-total // (8 * HASHES_PER_SLICE)))
     light = stored(meet_light(deal_light(sets, slices), percent), "light")
     heavy = sets.select(F.explode("heavy").alias("hash"), "row")
     members = light.where("b is null").select("hash", F.col("a").alias("row")).unionByName(heavy)
-    tiles = stored(tiles_of(members), "tiles")
-    small = surviving_pairs(light.where("b is not null").select("a", "b").distinct(), sets, percent)
-    links = verify(small.union(tile_pairs(tiles, sets, percent, None)).distinct(), docs, sets, words, percent)
+    tiles = stored(tiles_of(merge_buckets(members)), "tiles")
+    small = surviving_pairs(stored(light.where("b is not null").select("a", "b").distinct(), "small"), sets, percent)
+    found = stored(tile_pairs(tiles, sets, percent), "forests")
+    links = verify(small.union(found.select("a", "b")).distinct(), docs, sets, words, percent)
     labels = components(links)
-    more = verify(tile_pairs(tiles, sets, percent, labels), docs, sets, words, percent)
-    labels = components(links.union(more))
+    again = tiles.join(found.where("more").select("hash", "low", "high").distinct(), ["hash", "low", "high"], "left_semi")
+    rest = tile_pairs(again, sets, percent, labels).select("a", "b").distinct()
+    labels = components(links.union(verify(rest, docs, sets, words, percent)))
     placed = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     firsts = placed.groupBy("label").agg(F.min("first").alias("component_id"))
-    found = stored(placed.join(firsts, "label").select("digest", "component_id"), "groups")
-    return every.join(found, "digest", "left").select(
+    groups = stored(placed.join(firsts, "label").select("digest", "component_id"), "groups")
+    return every.join(groups, "digest", "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
