@@ -5,7 +5,7 @@ rule, a conjunction of comparisons. A logistic regression with an L1 penalty (la
 of them. What is left is compiled into one Spark column expression over the statistics, which are built-in functions of
 the text: scoring runs no Python and moves no text.
 
-Bounds: ``sample_rows`` labelled rows are fitted on the driver, as ten numbers each. Every text is scored whole.
+Bounds: ``sample_rows`` labelled rows are fitted on the driver, as eleven numbers each. Every text is scored whole.
 
 Cases: a null text counts as empty, and an empty text has all statistics 0 and is scored like any other; null labels and
 labels other than 0 and 1 teach nothing; of several labels of one document each one counts; without labels of both
@@ -46,6 +46,10 @@ def statistics(text: Column) -> dict[str, Column]:
         "stop_share": share(r"[.,;:]"),
         "digit_share": share(r"[0-9]"),
         "long_words": part(F.regexp_count(text, F.lit(rf"[^{SPACE}]{{13,}}")).cast("double"), words),
+        # a word and the same word again; matching never backtracks, so long texts cost no more a character
+        "echoes": part(
+            F.regexp_count(text, F.lit(rf"(?<![^{SPACE}])([^{SPACE}]++)[{SPACE}]\1(?![^{SPACE}])")).cast("double"), words
+        ),
         "repeated_lines": F.when(
             chars > 0, 1.0 - F.size(F.array_distinct(lines)) / F.size(lines).cast("double")
         ).otherwise(F.lit(0.0)),
@@ -58,8 +62,8 @@ class Rule:
 
     parts: frozenset[tuple[str, bool, float]]
 
-    def column(self, stats: str) -> Column:
-        value = {n: F.col(stats)[n] for n, _, _ in self.parts}
+    def column(self, prefix: str) -> Column:
+        value = {n: F.col(prefix + n) for n, _, _ in self.parts}
         tests = [value[n] > t if above else value[n] <= t for n, above, t in sorted(self.parts)]
         return reduce(lambda a, b: a & b, tests)
 
@@ -76,11 +80,11 @@ class Model:
     rules: list[tuple[Rule, float]]
     bias: float
 
-    def column(self, stats: str) -> Column:
-        """Score between 0 and 1, from the column ``stats`` that holds the statistics."""
+    def column(self, prefix: str = "_stat_") -> Column:
+        """Score between 0 and 1, from the columns of the statistics."""
         logit = F.lit(self.bias)
         for rule, weight in self.rules:
-            logit = logit + F.when(rule.column(stats), F.lit(weight)).otherwise(F.lit(0.0))
+            logit = logit + F.when(rule.column(prefix), F.lit(weight)).otherwise(F.lit(0.0))
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-logit))
 
 
@@ -170,15 +174,21 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 6000, seed: int =
 
 
 def with_statistics(docs: DataFrame) -> DataFrame:
+    """``docs`` with a column per statistic and ``_row``.
+
+    A filter that also reads ``_row`` stays above this projection: pushed below it, every rule would count its texts anew.
+    """
     stats = statistics(F.coalesce(F.col("text"), F.lit("")))
-    return docs.withColumn("_stats", F.struct(*[c.alias(n) for n, c in stats.items()]))
+    named = [c.alias(f"_stat_{n}") for n, c in stats.items()]
+    return docs.select("*", *named, F.monotonically_increasing_id().alias("_row"))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id``, ``score`` for every row."""
-    return with_statistics(docs.select("doc_id", "text")).select("doc_id", model.column("_stats").alias("score"))
+    return with_statistics(docs.select("doc_id", "text")).select("doc_id", model.column().alias("score"))
 
 
 def keep(docs: DataFrame, model: Model, least: float) -> DataFrame:
     """The rows of ``docs``, unchanged, whose score is ``least`` or more."""
-    return with_statistics(docs).where(model.column("_stats") >= least).drop("_stats")
+    passed = with_statistics(docs).where((model.column() >= least) & (F.col("_row") >= 0))
+    return passed.select(docs.columns)
