@@ -12,8 +12,9 @@ Size: a filter pair has about ``BITS_PER_LINE`` bits per line up to ``max_filter
 broadcast (16 MiB by default). Past that size filters get fuller and more lines are suspected, with the same result.
 
 Cases: a null text is an empty text, which has one empty line; empty keys are never dropped; rows that repeat a doc_id are
-one document for counting and each lose their lines; the key is the line without white space at both ends and with A-Z
-lower-cased; of equal first places the smaller doc_id, then the earlier line, is first; an empty table gives an empty table.
+one document for counting and each lose their lines; rows without doc_id count as one document together and keep theirs;
+the key is the line without white space at both ends and with A-Z lower-cased; of equal first places the smaller doc_id,
+then the earlier line, is first; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cotrend.llm.common import SPACE_BYTES, map_batches, ship_package, stored, texts
+from cotrend.llm.common import SPACE_BYTES, in_parts, map_batches, ship_package, stored, texts
 
 BITS_PER_LINE = 16
 PROBES = 3
@@ -95,15 +96,14 @@ def twice_seen(docs: DataFrame, slices: int, log_bits: int) -> list[Bloom]:
                 ["slice", "once", "twice"],
             )
 
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                own = set(keys_of(text))
-                own.discard(b"")
-                held.append(hashes_of(list(own)))
-                size += len(own)
-                if size >= HASHES_AT_ONCE:
-                    yield from sent()
-                    held, size = [], 0
+        for text in (t for batch in batches for part in in_parts(batch) for t in part.column("text").to_pylist()):
+            own = set(keys_of(text))
+            own.discard(b"")
+            held.append(hashes_of(list(own)))
+            size += len(own)
+            if size >= HASHES_AT_ONCE:
+                yield from sent()
+                held, size = [], 0
         if size:
             yield from sent()
 
@@ -133,7 +133,7 @@ def twice_seen(docs: DataFrame, slices: int, log_bits: int) -> list[Bloom]:
     hashed = docs.select("text").mapInArrow(hash_lines, "slice int, once binary, twice binary")
     by_slice = hashed.repartition(slices, "slice").sortWithinPartitions("slice")
     filters = [Bloom(log_bits, np.zeros(0, np.uint8)) for _ in range(slices)]
-    for row in by_slice.mapInArrow(fill, "slice int, bits binary").toLocalIterator():
+    for row in by_slice.mapInArrow(fill, "slice int, bits binary").collect():  # max_filter_bits at most
         filters[row["slice"]] = Bloom(log_bits, np.frombuffer(row["bits"], np.uint8))
     return filters
 
@@ -193,6 +193,8 @@ def find_repeats(docs: DataFrame, min_docs: int, max_filter_bits: int = 1 << 27)
         .where(F.col("n_docs") >= min_docs)
         .select("key", F.col("first.doc_id").alias("first_doc"), F.col("first.line").alias("first_line"))
     )
+    # written, so that both sides of the join come straight from a shuffle, which can split a key of very many rows
+    confirmed = stored(confirmed, "repeated-lines")
     return suspects.select("doc_id", "key").join(confirmed, "key")
 
 
