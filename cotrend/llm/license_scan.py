@@ -1,8 +1,9 @@
 """License scans: ordered signature rules with a keyword prefilter and containment suppression.
 
-Built-in functions only. A text passes the prefilter when it holds one of a few stems. Its words are then searched for anchor
-words; around each anchor a window of words is cut out, and only the rules of that anchor are tried on it. A rule is a
-regular expression over words joined by one space; what it matches is an interval of words with the rule's priority.
+Built-in functions only. Anchors are derived from the rules: all spellings of a rule are written out, and each holds one of the
+rule's anchors. A text passes the prefilter when it holds an anchor as a part of a word. Its words are then searched for anchor
+words; around each anchor a window of words is cut out, and only the rules of that anchor are tried on it. A window reaches as
+far as the longest spelling. A rule is a regular expression over words joined by one space; what it matches is an interval of words with the rule's priority.
 Of overlapping detections those go that lie inside one of equal or higher priority (of equal intervals of equal priority
 the first rule stays).
 
@@ -35,15 +36,6 @@ BASE = {
     ("general", "public", "license"): "gpl",
 }
 
-#: A text without any of these holds no anchor.
-STEMS = ("licen", "copyright", "gpl", "spdx", "cc", "commons", "domain", "rights", "eula")
-ANCHORS = (
-    "license licence licensed licenses licensing copyright copyrighted gpl lgpl agpl spdx cc cc0 "
-    "unlicense commons domain rights eula"
-).split()
-#: Words before and after an anchor; no rule spans more.
-REACH = 14
-
 L = "(?:license|licence)"
 
 
@@ -134,12 +126,75 @@ def rules() -> list[tuple[int, str, str, int, float]]:
     return out
 
 
+def spellings(expression: str) -> set[str]:
+    """All texts that an expression of literals, ``(?:a|b)`` and ``?`` matches."""
+    if set(expression) & set("\\[]{}*+.^$"):
+        raise ValueError(f"not a finite expression: {expression}")
+
+    def either(at: int) -> tuple[set[str], int]:
+        found, at = sequence(at)
+        while expression[at : at + 1] == "|":
+            more, at = sequence(at + 1)
+            found |= more
+        return found, at
+
+    def sequence(at: int) -> tuple[set[str], int]:
+        texts = {""}
+        while at < len(expression) and expression[at] not in "|)":
+            part = {expression[at]}
+            if expression.startswith("(?:", at):
+                part, at = either(at + 3)
+            at += 1
+            if expression[at : at + 1] == "?":
+                part, at = part | {""}, at + 1
+            texts = {t + p for t in texts for p in part}
+        return texts, at
+
+    return either(0)[0]
+
+
+#: Words that ordinary texts hold as well; anchors only where a spelling has no other word.
+COMMON = set("gnu general public creative attribution all reserved by sa nc nd version v clause zero sil".split())
+
+
+def required_words(expression: str) -> list[str]:
+    """Few words, rare ones if possible, of which every spelling of the expression holds one."""
+    rank = lambda w: 2 if w.startswith(("license", "licence")) else int(w not in COMMON and not w.isdigit())
+    left, out = [set(t.split()) for t in spellings(expression)], []
+    while left:
+        hits: dict[str, int] = {}
+        for words in left:
+            for word in words:
+                hits[word] = hits.get(word, 0) + 1
+        out.append(max(hits, key=lambda w: (rank(w), hits[w], w)))
+        left = [words for words in left if out[-1] not in words]
+    return out
+
+
+def anchors_of_rules() -> list[list[str]]:
+    """The anchors of every rule, in the order of ``rules()``: those of its name, or the first word of an identifier's form."""
+    names = [required_words(name) for _, name, _ in known_licenses()]
+    return [["spdx"] if "SPDX" in form else own for form, _, _ in FORMS for own in names]
+
+
+def longest(expression: str) -> int:
+    return max(len(t.split()) for t in spellings(expression))
+
+
+RULE_ANCHORS = anchors_of_rules()
+ANCHORS = sorted({a for own in RULE_ANCHORS for a in own})
+#: A text without any of these holds no anchor: anchors that contain no other.
+STEMS = tuple(a for a in ANCHORS if not any(b != a and b in a for b in ANCHORS))
+#: Words before and after an anchor; no rule spans more.
+REACH = max(
+    longest(form.replace("{l}", L)) - 1 + max(longest(spdx if "SPDX" in form else name) for _, name, spdx in known_licenses())
+    for form, _, _ in FORMS
+) - 1
+
+
 def rules_by_anchor(spark: SparkSession) -> DataFrame:
-    """``anchor`` with the rules whose expression names it; a fixed table of a few hundred rows."""
-    rows = []
-    for rule in rules():
-        named = [a for a in ANCHORS if a in rule[2] and a not in ("licenses", "licensing")]
-        rows += [(anchor, *rule) for anchor in named]
+    """``anchor`` with its rules; a fixed table of several hundred rows."""
+    rows = [(anchor, *rule) for own, rule in zip(RULE_ANCHORS, rules()) for anchor in own]
     return spark.createDataFrame(rows, "anchor string, rule int, label string, expression string, priority int, worth double")
 
 
