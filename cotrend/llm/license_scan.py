@@ -2,14 +2,15 @@
 
 Built-in functions only. Anchors are derived from the rules: all spellings of a rule are written out, and each holds one of the
 rule's anchors. A text passes the prefilter when it holds an anchor as a part of a word. Its words are then searched for anchor
-words; around each anchor a window of words is cut out, and only the rules of that anchor are tried on it. A window reaches as
-far as the longest spelling. A rule is a regular expression over words joined by one space; what it matches is an interval of words with the rule's priority.
+words; around each anchor a window of words is cut out, which reaches as far as the longest spelling, and windows that meet
+become one. So every place of a rule lies in exactly one window, and all places of a rule in a window are found, at once and from
+left to right, by the rules of the anchors in it. A rule is a regular expression over words joined by one space; what it matches is an interval of words with the rule's priority.
 Of overlapping detections those go that lie inside one of equal or higher priority (of equal intervals of equal priority
 the first rule stays).
 
 Apart from the rules, base phrases are counted at every place where their words stand consecutively.
 
-Only windows around anchors are shuffled or joined; texts never move. The rule table is fixed and broadcast.
+Only windows around anchors are joined and only places are shuffled; texts never move. The rule table is fixed and broadcast.
 
 Cases: a null text counts as empty; an empty text has no words, places or labels and score 0; equal rows are scanned one by
 one, also with one doc_id; a text of any length is scanned whole; an empty table gives an empty table.
@@ -192,10 +193,15 @@ REACH = max(
 ) - 1
 
 
+#: Signs put around matches; no word holds them.
+OPENS, CLOSES = "<", ">"
+
+
 def rules_by_anchor(spark: SparkSession) -> DataFrame:
-    """``anchor`` with its rules; a fixed table of several hundred rows."""
-    rows = [(anchor, *rule) for own, rule in zip(RULE_ANCHORS, rules()) for anchor in own]
-    return spark.createDataFrame(rows, "anchor string, rule int, label string, expression string, priority int, worth double")
+    """``anchor`` with its rules, and the anchors ``before`` it in the rule's list; a fixed table of some thousand rows."""
+    rows = [(anchor, own[:k], *rule) for own, rule in zip(RULE_ANCHORS, rules()) for k, anchor in enumerate(own)]
+    schema = "anchor string, before array<string>, rule int, label string, expression string, priority int, worth double"
+    return spark.createDataFrame(rows, schema)
 
 
 def lowered(text: Column) -> Column:
@@ -210,7 +216,7 @@ def phrase_places(words: Column, n: Column, phrase: tuple[str, ...]) -> Column:
 
 
 def find_windows(docs: DataFrame) -> DataFrame:
-    """One row per document: word count, base places, and the windows around anchors."""
+    """One row per document: word count, base places, and the windows around anchors, which do not meet."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     passed = reduce(lambda a, b: a | b, [F.contains(F.lower("text"), F.lit(s)) for s in STEMS])
     counted = rows.select(
@@ -220,34 +226,46 @@ def find_windows(docs: DataFrame) -> DataFrame:
         F.when(passed, F.regexp_extract_all(lowered(F.col("text")), F.lit(WORD), F.lit(0))).alias("words"),
     )
     words, n = F.col("words"), F.col("n_words")
-    anchors = F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, i).isin(ANCHORS))
+    is_anchor = lambda i: F.get(words, i).isin(ANCHORS)
+    marked = counted.withColumn("anchors", F.filter(F.sequence(F.lit(0), n - 1), is_anchor))
+    anchors = F.col("anchors")
+    # an anchor whose window does not meet that of the one before begins a window; likewise ends
+    begins = F.filter(anchors, lambda a, k: (k == 0) | (a - F.get(anchors, k - 1) > 2 * REACH + 1))
+    ends = F.filter(anchors, lambda a, k: (k == F.size(anchors) - 1) | (F.get(anchors, k + 1) - a > 2 * REACH + 1))
     first = lambda i: F.greatest(i - REACH, F.lit(0))
-    window = lambda i: F.struct(
-        F.get(words, i).alias("anchor"),
+    cut = lambda i, j: F.slice(words, first(i) + 1, j + REACH + 1 - first(i))
+    window = lambda i, j: F.struct(
+        F.array_intersect(cut(i, j), F.array(*map(F.lit, ANCHORS))).alias("anchors"),
         first(i).alias("start"),
-        F.array_join(F.slice(words, first(i) + 1, F.lit(2 * REACH + 1)), " ").alias("body"),
+        F.array_join(cut(i, j), " ").alias("body"),
     )
     usable = words.isNotNull() & (n > 0)
     places = {label: F.when(usable, phrase_places(words, n, p)) for p, label in BASE.items()}
-    return counted.select(
+    return marked.select(
         "row",
         "doc_id",
         n.cast("long").alias("n_words"),
         *[c.alias(f"at_{label}") for label, c in places.items()],
-        F.when(usable, F.transform(anchors, window)).alias("windows"),
+        F.when(usable, F.zip_with(begins, ends, window)).alias("windows"),
     )
 
 
 def detect(windows: DataFrame) -> DataFrame:
     """``row``, ``rule``, ``label``, ``priority``, ``worth``, ``start``, ``end`` (exclusive) of what rules match."""
     cut = windows.where(F.size("windows") > 0).select("row", F.explode("windows").alias("w")).select("row", "w.*")
-    met = cut.join(F.broadcast(rules_by_anchor(windows.sparkSession)), "anchor")
-    at = F.expr("regexp_instr(body, expression)")
-    found = met.withColumn("at", at).where(F.col("at") > 0)
-    spaces = lambda c: F.regexp_count(c, F.lit(" "))
-    start = F.col("start") + spaces(F.expr("substring(body, 1, at - 1)"))
-    size = spaces(F.expr("regexp_extract(body, expression, 0)")) + 1
-    return found.select("row", "rule", "label", "priority", "worth", start.alias("start"), (start + size).alias("end")).distinct()
+    each = cut.withColumn("anchor", F.explode("anchors"))
+    met = each.join(F.broadcast(rules_by_anchor(windows.sparkSession)), "anchor")
+    met = met.where(~F.arrays_overlap("anchors", "before"))  # once per window and rule
+    matched = met.withColumn("matched", F.expr(rf"regexp_replace(body, expression, '{OPENS}$0{CLOSES}')"))
+    words = F.split("matched", " ")
+    at = lambda test: F.filter(
+        F.transform(words, lambda w, i: F.when(test(w), i)), lambda i: i.isNotNull()
+    )
+    opens, closes = at(lambda w: F.startswith(w, F.lit(OPENS))), at(lambda w: F.endswith(w, F.lit(CLOSES)))
+    places = F.zip_with(opens, closes, lambda i, j: F.struct(i.alias("i"), j.alias("j")))
+    found = matched.where(F.contains("matched", F.lit(OPENS))).withColumn("place", F.explode(places))
+    start, end = F.col("start") + F.col("place.i"), F.col("start") + F.col("place.j") + 1
+    return found.select("row", "rule", "label", "priority", "worth", start.alias("start"), end.alias("end"))
 
 
 def suppress(found: DataFrame) -> DataFrame:

@@ -52,3 +52,18 @@ def test_every_spelling_holds_an_anchor_of_its_rule():
             assert re.fullmatch(name, text) and text.split() == text.split(" ") and set(own) & set(text.split())
     longest = "licensed under the terms and conditions of the creative commons attribution non commercial no derivatives international version 4 0"
     assert len(longest.split()) <= license_scan.REACH + 1
+
+
+def test_every_place_of_a_rule_is_found(documents):
+    random.seed(5)
+    parts = "mit apache license licence general public gnu gpl version v2 2 3 0 under the licensed cc by nc bsd clause spdx identifier mpl".split()
+    texts = ["mit license or mit license", "GNU GPL 2.0 and GNU GPL", "bsd 2 clause bsd license", "mit license " * 3000, None, ""]
+    for gap in range(2 * license_scan.REACH - 1, 2 * license_scan.REACH + 4):
+        texts.append(("gnu gpl 2.0 " + "word " * gap) * 3)
+    for odds in (0, 0, 20, 60):
+        words = parts + ["alpha"] * odds
+        texts += [" ".join(random.choice(words) for _ in range(random.randint(1, 300))) for _ in range(15)]
+    check(documents, texts)
+    repeated = license_scan.scan(documents([(i, t, "en", "a") for i, t in enumerate(texts[:2])])).orderBy("doc_id").collect()
+    assert [(d.start, d.end) for d in repeated[0].detections] == [(0, 2), (3, 5)]
+    assert repeated[1].labels == ["gpl", "gpl-2.0"]
