@@ -1,7 +1,8 @@
 """From raw documents to token ids: quality, line dedup, near duplicates, mixing, encoding.
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all rows its predecessor kept. All but the last return the columns of
-``documents``. Rows of one doc_id are one document: they are kept, dropped or repeated together.
+``documents``. The mix takes every row on its own; before it, rows of one doc_id are one document: they are kept or dropped
+together.
 """
 
 from __future__ import annotations
@@ -50,10 +51,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
-    mixed = mixing.mix(docs, WEIGHTS, SHARE, LIMIT).where(F.col("copies") > 0)
-    copies = mixed.groupBy("doc_id").agg(F.max("copies").cast("int").alias("copies"))
-    met = docs.select(*COLUMNS).join(copies, "doc_id")
+    """Rows as often as the mix takes them, each on its own, also where a doc_id is null or repeated."""
+    keyed = stored(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")), "keyed")
+    mixed = mixing.mix(keyed, WEIGHTS, SHARE, LIMIT, key="row").where(F.col("copies") > 0)
+    met = keyed.join(mixed.select("row", F.col("copies").cast("int").alias("copies")), "row")
     return met.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
 
 

@@ -135,13 +135,17 @@ def land(size: np.ndarray, chance: np.ndarray) -> np.ndarray:
     return p
 
 
-def draw_extra(rows: DataFrame, seed: int) -> DataFrame:
-    """``chance`` decided to 0 or 1: rows of ``doc_id``, ``source``, ``size``, ``chance``, balanced within each source."""
+def draw_extra(rows: DataFrame, seed: int, key: str | None = None) -> DataFrame:
+    """``chance`` decided to 0 or 1: rows of ``doc_id``, ``source``, ``size``, ``chance``, balanced within each source.
+
+    The column ``key``, a whole number, comes along.
+    """
     spark = rows.sparkSession
     ship_package(spark)
-    schema = "doc_id long, source string, size long, chance double, place long"
+    own = [key] if key else []
+    schema = "doc_id long, source string, size long, chance double, place long" + "".join(f", `{k}` long" for k in own)
     place = F.xxhash64("doc_id", "size", F.lit(seed)).alias("place")
-    undecided = rows.select("doc_id", "source", "size", "chance", place)
+    undecided = rows.select("doc_id", "source", "size", "chance", place, *own)
     decided: list[DataFrame] = []
     while True:
         sizes = undecided.groupBy(F.col("source").alias("of")).agg(F.count("*").alias("n"))
@@ -167,7 +171,7 @@ def draw_extra(rows: DataFrame, seed: int) -> DataFrame:
     out = decided[0]
     for more in decided[1:]:
         out = out.unionByName(more)
-    return out.select("doc_id", "source", "size", F.col("chance").cast("long").alias("extra"))
+    return out.select("doc_id", "source", "size", F.col("chance").cast("long").alias("extra"), *own)
 
 
 def mix(
@@ -176,9 +180,14 @@ def mix(
     share: float = 1.5,
     limit: float = 2.0,
     seed: int = 17,
+    key: str | None = None,
 ) -> DataFrame:
-    """``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``copies``, ``taken`` (words, repeats counted)."""
-    sized = stored(docs.select(F.col("doc_id").cast("long"), "source", size_of(F.col("text")).alias("size")), "sizes")
+    """``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``copies``, ``taken`` (words, repeats counted).
+
+    ``key`` names a column of whole numbers that tells rows apart where ``doc_id`` does not; it comes last in the result.
+    """
+    own = [key] if key else []
+    sized = stored(docs.select(F.col("doc_id").cast("long"), "source", size_of(F.col("text")).alias("size"), *own), "sizes")
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = stored(set_targets(weigh_sources(sources, weights), share, limit), "targets")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -188,10 +197,10 @@ def mix(
     chance = F.greatest(F.col("ratio") - whole, F.lit(0.0))
     none = chance <= EDGE
     sure = met.where(none | (F.col("size") == 0))
-    drawn = draw_extra(met.where(~none & (F.col("size") > 0)).withColumn("chance", chance), seed)
+    drawn = draw_extra(met.where(~none & (F.col("size") > 0)).withColumn("chance", chance), seed, key)
     numbers = drawn.join(known, F.col("source").eqNullSafe(F.col("of"))).drop("of")
     every = sure.withColumn("extra", F.lit(0).cast("long")).unionByName(numbers)
     copies = F.when(F.col("size") > 0, whole + F.col("extra")).otherwise(F.lit(0)).cast("long")
     return every.withColumn("copies", copies).select(
-        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * copies).alias("taken")
+        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * copies).alias("taken"), *own
     )
