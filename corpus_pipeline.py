@@ -1,8 +1,8 @@
 """From raw documents to token ids: quality, line dedup, near duplicates, mixing, encoding.
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all rows its predecessor kept. All but the last return the columns of
-``documents``. The mix takes every row on its own; before it, rows of one doc_id are one document: they are kept or dropped
-together.
+``documents``. Rows are kept, dropped or repeated each on its own, also where a doc_id is null or repeated; only the lines
+that documents share are counted by doc_id.
 """
 
 from __future__ import annotations
@@ -37,16 +37,28 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents the one with the smallest doc_id stays; documents without words all stay."""
-    groups = jaccard_join.similar_groups(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
-    dropped = groups.where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    rest = docs.join(stored(dropped, "dropped"), "doc_id", "left_anti").select(*COLUMNS)
-    again = stored(groups.groupBy("doc_id").count().where((F.col("count") > 1) & F.col("doc_id").isNotNull()), "repeated")
+    """Of each group of similar rows one with the smallest doc_id stays, null last; rows without words all stay.
+
+    Rows are told apart by doc_id and text, so a text is judged on its own also where its doc_id is null or repeated.
+    """
+    keyed = docs.select(*COLUMNS, F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("of_row"))
+    groups = jaccard_join.similar_groups(keyed, SHINGLE_WORDS, SIMILAR_PERCENT, "of_row").where(F.col("component").isNotNull())
+    rows = stored(groups.groupBy("component", "doc_id", "of_row").agg(F.count("*").alias("n")), "rows")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "of_row")).alias("least")
+    kept = rows.groupBy("component").agg(least).select("least.doc_id", "least.of_row")
+
+    def met(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        right = right.select(F.col("doc_id").alias("_id"), F.col("of_row").alias("_of"))
+        return left.join(right, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("of_row") == F.col("_of")), how)
+
+    dropped = met(rows.select("doc_id", "of_row"), kept, "left_anti")
+    rest = met(keyed, stored(dropped, "dropped"), "left_anti")
+    again = stored(rows.where(F.col("n") > 1).select("doc_id", "of_row"), "repeated")
     if again.isEmpty():
-        return rest
-    # rows that repeat a doc_id are copies of each other where their texts agree
-    single = rest.join(again, "doc_id", "left_anti").select(*COLUMNS)
-    several = rest.join(again, "doc_id", "left_semi").select(*COLUMNS).dropDuplicates(["doc_id", "text"])
+        return rest.select(*COLUMNS)
+    # rows that agree in doc_id and text are copies of each other
+    single = met(rest, again, "left_anti").select(*COLUMNS)
+    several = met(rest, again, "left_semi").dropDuplicates(["doc_id", "of_row"]).select(*COLUMNS)
     return single.unionByName(several)
 
 

@@ -207,8 +207,9 @@ def folded(counts: np.ndarray, groups: int) -> np.ndarray:
     return counts.reshape(*counts.shape[:-1], -1, groups).sum(axis=-2, dtype=np.int32)
 
 
-def features(docs: DataFrame, words: int, percent: int, bits: np.ndarray) -> DataFrame:
-    """``row``, ``doc_id``, ``n``, ``digest``, ``light`` and ``heavy`` hashes of the prefix, ``counts``."""
+def features(docs: DataFrame, words: int, percent: int, bits: np.ndarray, key: str | None = None) -> DataFrame:
+    """``row``, ``doc_id``, ``n``, ``digest``, ``light`` and ``heavy`` hashes of the prefix, ``counts``; ``key`` as ``of_row``."""
+    own_key = ["of_row"] if key else []
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def describe(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -225,12 +226,14 @@ def features(docs: DataFrame, words: int, percent: int, bits: np.ndarray) -> Dat
             counts.append(group_counts(own))
         columns = [pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()), pa.array(light, pa.binary())]
         columns += [pa.array(heavy, pa.list_(pa.int64())), pa.array(counts, pa.binary())]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n", "digest", "light", "heavy", "counts"])
+        columns += [batch.column(k) for k in own_key]
+        names = ["doc_id", "n", "digest", "light", "heavy", "counts", *own_key]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names)
 
     rows = map_batches(
-        docs.select(F.col("doc_id").cast("long"), "text"),
+        docs.select(F.col("doc_id").cast("long"), "text", *[F.col(key).alias(k) for k in own_key]),
         describe,
-        "doc_id long, n int, digest binary, light binary, heavy array<long>, counts binary",
+        "doc_id long, n int, digest binary, light binary, heavy array<long>, counts binary" + "".join(f", {k} binary" for k in own_key),
     )
     return stored(rows.withColumn("row", F.monotonically_increasing_id()), "features")
 
@@ -510,10 +513,14 @@ def verify(pairs: DataFrame, docs: DataFrame, sets: DataFrame, words: int, perce
     return stored(map_batches(met.select("a", "b", "left", "right"), overlap, "a long, b long"), "links")
 
 
-def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id`` (the smallest doc_id it reaches by links)."""
+def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str | None = None) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id`` (the smallest doc_id it reaches by links).
+
+    With ``key``, a binary column of ``docs``, it comes along as ``of_row``, and ``component`` numbers the components, null for
+    texts without words: these tell rows apart where a doc_id is null or repeated.
+    """
     bits = frequent_hashes(docs, words, percent)
-    every = features(docs, words, percent, bits)
+    every = features(docs, words, percent, bits, key)
     sizes = every.where("n > 0").groupBy("digest").agg(
         F.min("row").alias("node"), F.min("doc_id").alias("first"), F.count("*").alias("rows")
     )
@@ -523,7 +530,7 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
     flagged = flag_bits(every.where("n > 0"), F.xxhash64("digest"), copied.select(F.xxhash64("digest").alias("key")), "copied")
     single = flagged.where("not copied")
     chosen = flagged.where("copied").join(classes.select(F.col("node").alias("row")), "row", "left_semi")
-    sets = single.unionByName(stored(chosen.select(single.columns), "chosen")).drop("copied")
+    sets = single.unionByName(stored(chosen.select(single.columns), "chosen")).drop("copied", "of_row")
     total = sets.agg(F.sum(F.octet_length("light"))).first()[0] or 0
     slices = max(1, -(-total // (8 * HASHES_PER_SLICE)))
     light = stored(meet_light(deal_light(sets, slices), percent), "light")
@@ -539,7 +546,10 @@ def similar_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFr
     labels = components(links.union(verify(rest, docs, sets, words, percent)))
     placed = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     firsts = placed.groupBy("label").agg(F.min("first").alias("component_id"))
-    groups = stored(placed.join(firsts, "label").select("digest", "component_id"), "groups")
+    groups = stored(placed.join(firsts, "label").select("digest", "component_id", F.col("label").alias("component")), "groups")
     return every.join(groups, "digest", "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id",
+        F.col("n").cast("long").alias("n_shingles"),
+        F.coalesce("component_id", "doc_id").alias("component_id"),
+        *(["of_row", "component"] if key else []),
     )

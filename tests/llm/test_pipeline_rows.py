@@ -28,3 +28,19 @@ def test_mix_takes_rows_one_by_one(spark, documents):
     assert max(copies.values()) <= 2
     known = {t: (i, s) for i, t, _, s in rows}
     assert all(known[r.text] == (r.doc_id, r.source) for r in mixed)
+
+
+def test_near_copies_are_dropped_row_by_row(spark, documents):
+    random.seed(6)
+    text = [" ".join(random.choices(WORDS, k=60)) for _ in range(8)]
+    rows = [
+        (1, text[0], "en", "a"), (2, text[0] + " more", "en", "a"), (2, text[1], "en", "a"),  # the other text of 2 is unlike any
+        (None, text[1], "en", "b"), (None, text[2], "en", "a"), (None, text[2] + " more", "en", "a"), (None, text[3], "en", "a"),
+        (5, text[4], "en", "a"), (5, text[4], "en", "a"), (5, text[4] + " more", "en", "a"), (6, "", "en", "a"), (None, None, "en", "a"),
+    ]
+    near = [(r.doc_id, r.text) for r in pipeline.drop_near_copies(spark, documents(rows), "").collect()]
+    first = [(i, t) for i, t in near if t and t.startswith(text[2])]
+    fifth = [t for i, t in near if i == 5]
+    assert len(first) == 1 and len(fifth) == 1 and fifth[0].startswith(text[4])
+    others = [x for x in near if x not in first and x[0] != 5]
+    assert sorted(others, key=repr) == sorted([(1, text[0]), (2, text[1]), (None, text[3]), (6, ""), (None, None)], key=repr)
