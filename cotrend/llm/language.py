@@ -13,7 +13,8 @@ counts per hashed run reach the driver. Every text is scored whole.
 
 Cases: a null text, or one without a letter, gets ``und`` with score 0 and is marked as rejected, and so does every
 text when there is nothing to learn from; null languages teach nothing; a language learned from one row is a language;
-ties go to the language that is first in code-point order; repeated rows count as often as they appear.
+ties go to the language that is first in code-point order; rows that agree in doc_id and language teach once (by the first
+text in order).
 """
 
 from __future__ import annotations
@@ -75,7 +76,7 @@ def has_letter(text: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, sample_rows: int, max_languages: int, seed: int) -> DataFrame:
-    """A bounded sample of rows with a language and a letter, with an even share for each language."""
+    """A bounded sample of different ``doc_id``, ``lang``, with an even share for each language."""
     known = docs.where(F.col("lang").isNotNull())
     sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
     if not sizes:
@@ -84,7 +85,7 @@ def training_rows(docs: DataFrame, sample_rows: int, max_languages: int, seed: i
     place = F.xxhash64(F.col("doc_id"), F.lit(seed))
     fraction = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, share / r["count"]))])
     low = (place / F.lit(2.0**64) + F.lit(0.5)) < fraction[F.col("lang")]
-    return known.where(low).orderBy(place, "doc_id").limit(sample_rows)
+    return known.where(low).select("doc_id", "lang").distinct().orderBy(place, "doc_id", "lang").limit(sample_rows)
 
 
 def fit(
@@ -92,8 +93,10 @@ def fit(
 ) -> Model | None:
     """Train on ``doc_id``, ``text``, ``lang``; None when no row can be learned from."""
     chosen = training_rows(docs.select("doc_id", "lang"), sample_rows, max_languages, seed)
-    ids = F.broadcast(chosen.select("doc_id").distinct())  # at most sample_rows ids
-    rows = docs.where(F.col("lang").isNotNull() & has_letter(F.col("text"))).join(ids, "doc_id")
+    pairs = F.broadcast(chosen)  # at most sample_rows
+    met = docs.where(F.col("lang").isNotNull() & has_letter(F.col("text"))).join(pairs, ["doc_id", "lang"])
+    # a doc_id may have any number of rows; one text for each pair keeps what reaches the driver bounded
+    rows = met.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
     def count(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         found = [run_counts(t) for t in batch.column("text").to_pylist()]

@@ -164,8 +164,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 6000, seed: int =
     """Learn from ``doc_id``, ``text`` and ``doc_id``, ``quality``; the caller leaves out what may not be learned from."""
     usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "quality")
     place = F.xxhash64("doc_id", F.lit(seed))
-    chosen = usable.orderBy(place, "doc_id", "quality").limit(sample_rows)
-    rows = texts(docs).join(F.broadcast(chosen), "doc_id")  # at most sample_rows pairs of numbers
+    chosen = usable.distinct().orderBy(place, "doc_id", "quality").limit(sample_rows)
+    met = texts(docs).join(F.broadcast(chosen), "doc_id")  # at most sample_rows pairs of numbers
+    # a doc_id may have any number of rows; one text for each pair keeps what reaches the driver bounded
+    rows = met.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
     stats = statistics(F.col("text"))
     table = rows.select("doc_id", "quality", *[c.alias(n) for n, c in stats.items()]).toPandas()
     table = table.sort_values(list(table.columns), kind="stable")
