@@ -16,6 +16,7 @@ from cotrend.llm import (
     language,
     license_scan,
     line_dedup,
+    line_rules,
     mixing,
     quality,
     tokens,
@@ -187,3 +188,50 @@ SELECT doc_id, n AS n_shingles, min(root) AS component_id FROM reached JOIN size
 )
 def op8_jaccard_join(spark, sf_dir):
     return jaccard_join.similar_groups(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
+def _line_rules_sql() -> str:
+    holds = lambda phrases: f"regexp_matches(lower_line, '(^|{line_rules.NO_WORD})({phrases})({line_rules.NO_WORD}|\\z)')"
+    count = lambda pattern: f"len(regexp_extract_all(line, '{pattern}'))"
+    word = r"[^\x20\t-\r]+"
+    return rf"""WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+words AS (SELECT rid, doc_id, text, regexp_extract_all(text, '{word}') AS w FROM docs),
+windows AS (
+  SELECT rid, unnest(range(1, len(w) - 1)) AS i, unnest([w[i:i + 2] FOR i IN range(1, len(w) - 1)]) AS three FROM words),
+twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, three) AS n FROM windows) WHERE n > 1),
+covered AS (
+  SELECT rid, count(*) AS n_repeat_words FROM (
+    SELECT rid, i FROM twice UNION SELECT rid, i + 1 FROM twice UNION SELECT rid, i + 2 FROM twice) GROUP BY rid),
+lines AS (
+  SELECT rid, line, translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_line,
+         {count(word)} AS n FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM docs)),
+judged AS (
+  SELECT rid, line, n, {count(line_rules.SEPARATOR)} AS separators,
+         100 * {count(line_rules.SYMBOLS)} > {line_rules.MOST_SYMBOLS} * n
+         OR 100 * {count(line_rules.MARK_RUNS)} > {line_rules.MOST_MARKS} * n
+         OR NOT regexp_matches(line, '{line_rules.LETTER}')
+         OR (n >= {line_rules.LONG_LINE} AND NOT regexp_matches(line, '{line_rules.SENTENCE_MARK}')) AS punctuation,
+         n <= {line_rules.SHORT_LINE} AND NOT regexp_matches(line, '[.!?][\x20\t-\r]*\z') AND {holds(line_rules.NAVIGATION)} AS site,
+         n <= {line_rules.NOTICE_LINE} AND {holds(line_rules.BOILERPLATE)} AS notice
+  FROM lines WHERE n > 0),
+lost AS (
+  SELECT rid, count(*) - count(DISTINCT line) AS n_dup_lines,
+         sum(length(regexp_replace(line, '[\x20\t-\r]+', '', 'g'))) FILTER (
+           WHERE punctuation OR site OR notice OR (separators >= 2 AND 100 * separators > {line_rules.MOST_SEPARATORS} * n)) AS chars
+  FROM judged GROUP BY rid),
+counted AS (
+  SELECT doc_id, len(w) AS n_words, CAST(coalesce(list_sum([length(x) FOR x IN w]), 0) AS BIGINT) AS word_chars,
+         len(regexp_extract_all(text, '{line_rules.SYMBOLS}')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(chars, 0) AS chars
+  FROM words LEFT JOIN covered USING (rid) LEFT JOIN lost USING (rid)),
+failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 100 * chars <= {line_rules.MOST_LOST} * word_chars AS kept FROM failed"""
+
+
+@query(_line_rules_sql())
+def op11_line_rules(spark, sf_dir):
+    judged = line_rules.clean(table(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
