@@ -19,6 +19,7 @@ from cotrend.llm import (
     line_rules,
     mixing,
     quality,
+    resampling,
     tokens,
 )
 from cotrend.llm.common import crc_remainder
@@ -235,3 +236,51 @@ def op11_line_rules(spark, sf_dir):
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query(
+    r"""WITH RECURSIVE crc_bits(byte, k, c) AS (
+  SELECT b, 0, CAST(b AS BIGINT) FROM range(256) r(b)
+  UNION ALL
+  SELECT byte, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc_bits WHERE k < 8),
+crc_table AS (SELECT byte, c AS value FROM crc_bits WHERE k = 8),
+texts AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL
+  SELECT -row_number() OVER (), NULL, regexp_extract_all(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+runs AS (SELECT rid, unnest(w || [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS f FROM texts),
+counted AS (SELECT rid, f, count(*) AS n FROM runs GROUP BY rid, f),
+fed(f, h, place, c) AS (
+  SELECT f, hex(encode(f)), 0, CAST(4294967295 AS BIGINT) FROM (SELECT DISTINCT f FROM counted)
+  UNION ALL
+  SELECT f, h, place + 1, xor(value, c >> 8) FROM fed JOIN crc_table ON byte = xor(c % 256,
+    16 * (instr('0123456789ABCDEF', substr(h, 2 * place + 1, 1)) - 1) + instr('0123456789ABCDEF', substr(h, 2 * place + 2, 1)) - 1)
+  WHERE 2 * place < length(h)),
+bucket_of AS (SELECT f, xor(c, 4294967295) % 10000 AS bucket FROM fed WHERE 2 * place = length(h)),
+sums AS (
+  SELECT bucket, sum(n) FILTER (WHERE rid > 0) AS s, sum(n) FILTER (WHERE rid < 0) AS t
+  FROM counted JOIN bucket_of USING (f) GROUP BY bucket),
+totals AS (SELECT CAST(coalesce(sum(s), 0) AS DOUBLE) AS all_s, CAST(coalesce(sum(t), 0) AS DOUBLE) AS all_t FROM sums),
+gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0)::DOUBLE + 1) * (all_s + 10000) / ((coalesce(s, 0)::DOUBLE + 1) * (all_t + 10000)))) AS gain
+  FROM sums, totals),
+weights AS (
+  SELECT rid, sum(n) AS n_features, floor(sum(n * gain) / sum(n)) AS weight
+  FROM counted JOIN bucket_of USING (f) JOIN gains USING (bucket) GROUP BY rid),
+scored AS (
+  SELECT rid, doc_id, len(w) AS n_words, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+         CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+  FROM texts LEFT JOIN weights USING (rid) WHERE rid > 0),
+drawn AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) AS BIGINT) AS score FROM scored),
+ranked AS (
+  SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS place, count(*) OVER () AS all_rows
+  FROM drawn WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 25 * all_rows // 100 THEN place END AS rank
+FROM drawn LEFT JOIN ranked USING (rid)"""
+)
+def op12_resampling(spark, sf_dir):
+    drawn = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
