@@ -12,6 +12,7 @@ from cotrend.llm import (
     block_search,
     bpe,
     exact_dedup,
+    hard_negatives,
     jaccard_join,
     language,
     license_scan,
@@ -284,3 +285,28 @@ FROM drawn LEFT JOIN ranked USING (rid)"""
 def op12_resampling(spark, sf_dir):
     drawn = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query(
+    """WITH usable AS (
+  SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT a.rid, a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         CAST(list_sum([a.v[i] * c.v[i] FOR i IN range(1, len(a.v) + 1)]) AS BIGINT) AS score
+  FROM usable a JOIN usable c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v) WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT rid, anchor_id, vec_id AS positive_id, score AS positive_score, place FROM (
+    SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS place FROM scored WHERE same) WHERE place <= 5),
+ranked AS (
+  SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.rid, place ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM positives p JOIN scored s ON p.rid = s.rid AND NOT same
+    AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3"""
+)
+def op13_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, label)

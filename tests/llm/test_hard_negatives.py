@@ -1,0 +1,114 @@
+import itertools
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cotrend.llm import hard_negatives as hn
+
+
+def brute(rows, step=5, n_positives=5, n_negatives=3):
+    """``anchor_id, positive_id, rank, negative_id, positive_score, negative_score`` by loops over all pairs."""
+    good = [
+        (i, label, [math.floor(256 * x) for x in v])
+        for i, label, v in rows
+        if None not in (i, label, v) and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    out = []
+    for a, label, v in good:
+        if a % step:
+            continue
+        met = [(i, own, sum(x * y for x, y in zip(v, c))) for i, own, c in good if i != a and len(c) == len(v)]
+        order = sorted(met, key=lambda r: (-r[2], r[0]))
+        for p, _, score in [r for r in order if r[1] == label][:n_positives]:
+            hard = [r for r in order if r[1] != label and 50 * score <= 100 * r[2] <= 95 * score]
+            out += [(a, p, rank, r[0], score, r[2]) for rank, r in enumerate(hard[:n_negatives], 1)]
+    return sorted(out)
+
+
+def result(spark, rows, step=5, **more):
+    df = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    for name in ("id", "n", "key", "codes", "tile", "block", "w", "row", "asks", "score", "rank"):
+        df = df.withColumn(name, F.lit("x"))
+    found = hn.mine(df.repartition(3), F.col("id") % step == 0, F.col("label"), **more)
+    assert found.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    return sorted(tuple(r) for r in found.collect())
+
+
+def make(n, d, seed, labels=3, spread=0.6):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(8, d))
+    values = centres[rng.integers(0, 8, n)] + spread * rng.normal(size=(n, d))
+    return [(i, int(rng.integers(0, labels)), [float(x) for x in v]) for i, v in enumerate(values)]
+
+
+ODD = [
+    (1000, 0, None), (1001, None, [1.0] * 6), (None, 0, [1.0] * 6), (1002, 0, [None] * 6), (1003, 1, [float("nan")] * 6),
+    (1005, 1, [float("inf")] * 6), (1010, 2, [0.0] * 6), (1015, 0, [1.0] * 7), (1016, 0, [1.0] * 7), (1017, 1, [0.9] * 7),
+    (1020, 0, []), (1021, 0, []), (1022, 1, []), (5, 0, [0.5] * 6), (5, 1, [0.5] * 6), (7, 0, [0.5] * 6), (7, 0, [0.5] * 6),
+]
+
+
+@pytest.mark.parametrize("block, tile", [(256, 256), (7, 4)])
+def test_against_loops(spark, monkeypatch, block, tile):
+    monkeypatch.setattr(hn, "BLOCK", block)
+    monkeypatch.setattr(hn, "TILE", tile)
+    rows = make(260, 6, 1) + ODD + [(2000 + i, i % 2, [0.25] * 6) for i in range(90)]  # a third of the rows alike
+    assert result(spark, rows) == brute(rows)
+
+
+def test_few_rows_and_empty_tables(spark):
+    rows = [(0, 1, [1.0, 1.0]), (1, 1, [1.0, 1.0]), (2, 2, [1.0, 0.6])]
+    assert result(spark, rows) == brute(rows) == [(0, 1, 1, 2, 131072, 104704)]
+    assert result(spark, rows[:2]) == result(spark, rows[1:]) == result(spark, []) == []
+
+
+def test_other_numbers_of_positives_and_negatives(spark):
+    rows = make(120, 4, 5, labels=2)
+    assert result(spark, rows, n_positives=2, n_negatives=7) == brute(rows, n_positives=2, n_negatives=7)
+
+
+def test_large_components_are_exact(spark):
+    rows = [(0, 0, [2.0**40 + 1, 3.0]), (1, 0, [2.0**40, 5.0]), (2, 1, [2.0**39 + 7, 1.0]), (3, 1, [2.0**39 + 7, 1.25])]
+    assert all(hn.LEAST <= score <= hn.MOST for r in result(spark, rows) for score in r[4:])
+    a, b = np.array([[2.0**40, 3.0]]), np.array([[2.0**20 + 1, 5.0], [2.0**60, 2.0**60]])
+    assert hn.products(a, b).tolist() == [[2**60 + 2**40 + 15, hn.MOST]]
+
+
+@pytest.mark.parametrize("n, bits", [(1, 3), (2, 1), (2, 3), (3, 2), (4, 2)])
+def test_neighbours_on_the_curve_are_neighbours_in_space(n, bits):
+    cells = np.array(list(itertools.product(range(1 << bits), repeat=n)))
+    keys = [k.tobytes() for k in hn.hilbert_keys(cells, bits)]
+    assert len(set(keys)) == len(cells)
+    path = cells[sorted(range(len(cells)), key=lambda i: keys[i])]
+    assert (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
+
+
+def test_bounds_hold_every_score():
+    rng = np.random.default_rng(2)
+    for scale in (10, 2.0**30):
+        a, c = np.floor(scale * rng.normal(size=(30, 9))), np.floor(scale * rng.normal(size=(50, 9)))
+        least, most = hn.score_bounds(a, c.min(axis=0)[None], c.max(axis=0)[None])
+        scores = hn.products(a, c).astype(float)
+        assert (least <= scores).all() and (scores <= most).all()
+
+
+def test_clustered_blocks_are_not_all_read(spark, monkeypatch):
+    """With well-parted clusters a window reads few blocks, and the result is still that of the full scan."""
+    monkeypatch.setattr(hn, "BLOCK", 16)
+    chosen, of_all = [], hn.choose
+
+    def choose(asked, zones, same, best_only):
+        needs = of_all(asked, zones, same, best_only)
+        if not best_only:
+            sizes = zones.select(F.sum(F.size("blocks")).alias("b")).first().b
+            windows = asked.select(F.sum(F.size("w")).alias("w")).first().w
+            chosen.append((needs.select(F.sum(F.size("ws")).alias("n")).first().n, sizes * windows))
+        return needs
+
+    monkeypatch.setattr(hn, "choose", choose)
+    rows = make(800, 3, 9, labels=10, spread=0.02)
+    assert result(spark, rows, step=20) == brute(rows, step=20)
+    (positives, all_positives), (negatives, all_negatives) = chosen
+    assert positives < 0.1 * all_positives and negatives < 0.7 * all_negatives
