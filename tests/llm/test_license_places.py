@@ -5,28 +5,13 @@ import re
 
 from cotrend.llm import license_scan
 
-from .test_license_scan import base, words_of
-
-RULES = [(rule, label, re.compile(expression), priority, worth) for rule, label, expression, priority, worth in license_scan.rules()]
-
-
-def places(text):
-    """All matches of all rules, then suppression, by loops."""
-    joined, found = " ".join(words_of(text)), []
-    for rule, label, expression, priority, worth in RULES:
-        for m in expression.finditer(joined):
-            first = joined[: m.start()].count(" ")
-            found.append((first, first + m.group().count(" ") + 1, rule, label, priority, worth))
-    order = sorted(found, key=lambda d: (d[0], -d[1], -d[4], d[2]))
-    kept = [d for k, d in enumerate(order) if not any(e[1] >= d[1] and e[4] >= d[4] for e in order[:k])]
-    return sorted(kept)
-
+from .test_license_scan import base, detections
 
 def check(documents, texts):
     got = {r.doc_id: r for r in license_scan.scan(documents([(i, t, "en", "a") for i, t in enumerate(texts)])).collect()}
     assert len(got) == len(texts)
     for i, text in enumerate(texts):
-        found, labels = places(text), base(text)[2]
+        found, labels = detections(text), base(text)[2]
         assert sorted((d.start, d.end, d.rule, d.label, d.priority) for d in got[i].detections or []) == [d[:5] for d in found], text
         assert got[i].labels == sorted(set(labels) | {d[3] for d in found}), text
         assert got[i].score == max([d[5] for d in found] + [0.5 if labels else 0.0]), text

@@ -25,19 +25,16 @@ def base(text):
     return len(words), sorted(places), sorted(labels)
 
 
+RULES = [(rule, label, re.compile(expression), priority, worth) for rule, label, expression, priority, worth in license_scan.rules()]
+
+
 def detections(text):
-    """All rules at all windows around anchors, then suppression, by loops."""
-    words, found = words_of(text), set()
-    for i, word in enumerate(words):
-        if word not in license_scan.ANCHORS:
-            continue
-        start = max(i - license_scan.REACH, 0)
-        window = " ".join(words[start : start + 2 * license_scan.REACH + 1])
-        for rule, label, expression, priority, worth in license_scan.rules():
-            named = word in expression and word not in ("licenses", "licensing")
-            if named and (m := re.search(expression, window)):
-                first = start + window[: m.start()].count(" ")
-                found.add((first, first + m.group().count(" ") + 1, rule, label, priority, worth))
+    """All matches of all rules over the whole joined words, then suppression, by loops."""
+    joined, found = " ".join(words_of(text)), []
+    for rule, label, expression, priority, worth in RULES:
+        for m in expression.finditer(joined):
+            first = joined[: m.start()].count(" ")
+            found.append((first, first + m.group().count(" ") + 1, rule, label, priority, worth))
     order = sorted(found, key=lambda d: (d[0], -d[1], -d[4], d[2]))
     kept = [d for k, d in enumerate(order) if not any(e[1] >= d[1] and e[4] >= d[4] for e in order[:k])]
     return sorted(kept)
