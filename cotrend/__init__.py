@@ -41,7 +41,13 @@ from cotrend.operators.trends import trend, trend_by_category, trend_pairs_by_ca
 from cotrend.plans.batch import notebook_drop_report, notebook_usage, run_batch, run_batches
 from cotrend.session import build_session, scratch_path
 from cotrend.sinks.database import append_table, append_table_per_key
-from cotrend.sinks.increments import append_by_key, write_increment, write_increments
+from cotrend.sinks.increments import (
+    append_by_key,
+    compact_increments,
+    remove_unpublished,
+    write_increment,
+    write_increments,
+)
 from cotrend.sources.catalogue_file import load_catalogue
 from cotrend.sources.database import read_table, read_trend, table_exists
 from cotrend.sources.files import (
@@ -53,7 +59,8 @@ from cotrend.sources.files import (
     scan_lines,
     urls_to_frame,
 )
-from cotrend.sources.increments import read_increments
+from cotrend.sources.increments import read_counts, read_increments
+from cotrend.sources.records import read_records
 
 __all__ = [
     "append_by_key",
@@ -62,6 +69,7 @@ __all__ = [
     "baskets",
     "build_session",
     "clean_line",
+    "compact_increments",
     "count_monthly",
     "counts_as_text",
     "date_entities",
@@ -94,13 +102,16 @@ __all__ = [
     "partner_categories",
     "path_parts",
     "preview",
+    "read_counts",
     "read_increments",
+    "read_records",
     "read_relation",
     "read_repo_metadata",
     "read_table",
     "read_trend",
     "table_exists",
     "refuse_hidden",
+    "remove_unpublished",
     "run_batch",
     "run_batches",
     "scan_lines",

@@ -14,6 +14,7 @@ from cotrend.sinks.increments import write_increment
 from cotrend.sources.catalogue_file import load_catalogue
 from cotrend.sources.files import read_relation, read_repo_metadata, refuse_hidden, scan_lines
 from cotrend.sources.increments import read_increments
+from cotrend.sources.records import read_records
 
 
 def notebook_usage(
@@ -59,12 +60,13 @@ def run_batch(
 ) -> DataFrame:
     """Process the notebook folders of a batch and store the counts; returns the stored counts.
 
-    ``multiline=False`` lets many tasks read one large relation file whose fields hold no line break.
+    The relation is read by many tasks, however large one file is; ``multiline=False`` saves a shuffle where no field holds a
+    line break.
     """
     refuse_hidden(spark, folders)
     counts = notebook_usage(
         scan_lines(spark, folders),
-        read_relation(spark, relation_path, multiline),
+        read_records(spark, relation_path) if multiline else read_relation(spark, relation_path, multiline=False),
         read_repo_metadata(spark, metadata_path),
         load_catalogue(spark, catalogue_path),
     )

@@ -18,10 +18,11 @@ from cotrend.operators.relation import date_entities, join_relation
 from cotrend.plans import tables as tb
 from cotrend.plans.batch import notebook_drop_report, notebook_usage
 from cotrend.session import scratch_path
-from cotrend.sinks.increments import append_by_key, write_increment, write_increments
+from cotrend.sinks.increments import append_by_key, compact_increments, write_increment, write_increments
 from cotrend.sources import files
 from cotrend.sources.catalogue_file import load_catalogue
-from cotrend.sources.increments import read_increments
+from cotrend.sources.increments import read_counts, read_increments
+from cotrend.sources.records import read_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -192,8 +193,7 @@ def scan_text_lines(spark, sf_dir):
     return files.scan_lines(spark, [root]).select("line")
 
 
-@query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang FROM documents")
-def scan_csv_multiline(spark, sf_dir):
+def _documents_as_csv(spark: SparkSession, sf_dir: str) -> str:
     root = scratch_path(spark, "relation")
     documents = tb.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     documents.write.csv(
@@ -204,7 +204,17 @@ def scan_csv_multiline(spark, sf_dir):
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     )
-    return files.read_relation(spark, root).select("doc_id", "text", "lang")
+    return root
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang FROM documents")
+def scan_csv_multiline(spark, sf_dir):
+    return files.read_relation(spark, _documents_as_csv(spark, sf_dir)).select("doc_id", "text", "lang")
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source FROM documents")
+def scan_csv_records(spark, sf_dir):
+    return read_records(spark, _documents_as_csv(spark, sf_dir)).select("doc_id", "text", "lang", "source")
 
 
 @query(
@@ -612,8 +622,31 @@ def sink_fanout_by_key(spark, sf_dir):
 def increments_sum(spark, sf_dir):
     root = scratch_path(spark, "increments")
     counts = _batches(spark, sf_dir, pairs=True)
-    write_increments(counts, root)
+    write_increments(counts, root, [FINISHED, OPEN])
     stored = _plain(read_increments(spark, root))
     ids = stored.agg(F.array_join(F.array_sort(F.collect_set("batch_id")), ";"))
     summed = stored.groupBy("library", "item_a", "item_b", "datetime").agg(F.sum("lib_counts").alias("users"))
     return summed.withColumn("batches", ids.scalar())
+
+
+@query(ALL_WITH + f"SELECT library, item_a, item_b, datetime, lib_counts, '{FINISHED}' AS batch_id FROM counts")
+def published_batches(spark, sf_dir):
+    """A batch of all orders takes the place of its first run, of single tools; one that ran before is cleared."""
+    root = scratch_path(spark, "published")
+    first = _usage(spark, sf_dir, pairs=False)
+    write_increment(first, root, FINISHED)
+    write_increment(first, root, OPEN)
+    write_increments(_usage(spark, sf_dir).withColumn("batch_id", F.lit(FINISHED)), root, [FINISHED, OPEN])
+    return _plain(read_increments(spark, root))
+
+
+@query(ALL_WITH + "SELECT library, item_a, item_b, datetime, lib_counts FROM counts")
+def increments_compacted(spark, sf_dir):
+    """Two batches, the first compacted alone and run again afterwards, add up to the counts of all orders."""
+    root = scratch_path(spark, "compacted")
+    counts = _batches(spark, sf_dir, pairs=True)
+    first = F.col("batch_id") == FINISHED
+    write_increment(counts.where(first & F.col("item_b").isNull()), root, FINISHED)
+    compact_increments(spark, root)
+    write_increments(counts, root, [FINISHED, OPEN])
+    return _plain(read_counts(spark, root))

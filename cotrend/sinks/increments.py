@@ -5,9 +5,23 @@ A count table has one row per key and month, so no key is large, whatever the in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cotrend.sources.files import matches
+from cotrend.sources.increments import (
+    LOG,
+    batch_folder,
+    log_folder,
+    published_runs,
+    read_counts,
+    read_log,
+    run_folder,
+    tier_folder,
+)
+
 #: The key is ``item_a`` and ``item_b``; ``library`` is its text, which two keys can share.
 STORED = ("item_a", "item_b", "datetime", "lib_counts")
 
@@ -22,37 +36,96 @@ def append_by_key(counts: DataFrame, path: str) -> None:
     by_key.write.partitionBy("library").mode("append").parquet(path)
 
 
-# The signs that Spark's partition folders hold in percent form, and its name for NULL.
-ESCAPED = "\"#%'*/:=?\\{[]^\x7f" + "".join(map(chr, range(1, 32)))
-NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+def _new_run(spark: SparkSession, root: str) -> str:
+    """Name of a new run. A root of batches without a log is refused, as its batches would vanish from sight."""
+    if read_log(spark, root) is None and matches(spark, f"{root.rstrip('/')}/batch_id=*"):
+        raise ValueError(f"{root} has batches without a log of publications; write them to a new root")
+    return uuid.uuid4().hex
+
+
+def _publish(spark: SparkSession, root: str, rows: list[tuple]) -> None:
+    """Add one entry to the log. It is a single file that appears by a rename, so readers see all of it or nothing.
+
+    Entries are ordered by number. Two writers at once may take the same number; for different batches that makes no
+    difference, and of two runs of one batch the last in order of the entries' names counts.
+    """
+    log = read_log(spark, root)
+    last = "" if log is None else log.agg(F.max("entry")).first()[0] or ""
+    number = int(last.split("-")[0] or 0) + 1
+    entry = spark.createDataFrame(rows, LOG.rsplit(", ", 1)[0]).coalesce(1)
+    entry.write.json(f"{log_folder(root)}/entry={number:012d}-{uuid.uuid4().hex}")
 
 
-def batch_folder(root: str, batch_id: str) -> str:
-    """Folder of a batch, named as Spark names partition folders, so that reading gives the id back."""
-    if not batch_id or batch_id == NULL_FOLDER or "\0" in batch_id:
-        raise ValueError(f"not a batch id: {batch_id!r}")
-    name = "".join(f"%{ord(sign):02X}" if sign in ESCAPED else sign for sign in batch_id)
-    return f"{root.rstrip('/')}/batch_id={name}"
+def _sorted_rows(counts: DataFrame, *first: str) -> DataFrame:
+    """Keys kept together and sorted: few files for any number of pairs, and a filter on the items still skips rows."""
+    dealt = counts.select(*first, *STORED).repartition(*first, "item_a")
+    return dealt.sortWithinPartitions(*first, "item_a", "item_b", "datetime")
 
 
 def write_increment(counts: DataFrame, root: str, batch_id: str) -> None:
     """Write the counts of one batch; a second run of the batch takes the place of the first.
 
-    Each batch has its own folder and is overwritten as a whole, so keys that a second run no
-    longer has do not stay behind. Keys are kept together and sorted instead of foldered: few
-    files for any number of pairs, and a filter on the items still skips row groups.
+    Every run has a folder of its own and is published when it is complete. Until then, and if it fails, readers see
+    the run before it. An empty run replaces too, so keys that a second run no longer has do not stay behind.
+    """
+    run = _new_run(counts.sparkSession, root)
+    _sorted_rows(counts).write.parquet(f"{run_folder(root, run)}/{batch_folder(batch_id)}")
+    _publish(counts.sparkSession, root, [(batch_id, run, None, None)])
+
+
+def write_increments(counts: DataFrame, root: str, batches: list[str] | None = None) -> None:
+    """Write the counts of several batches, told apart by ``batch_id``, with one job, and publish them together.
+
+    Batches that occur in ``counts`` are replaced as a whole, others stay. ``batches`` names the batches that ran: one that
+    has no row is cleared, and a row of any other is an error. So is a row whose id is null or empty. After an error
+    nothing is published.
+    """
+    for batch_id in batches or []:
+        batch_folder(batch_id)
+    spark = counts.sparkSession
+    run = _new_run(spark, root)
+    _sorted_rows(counts, "batch_id").write.partitionBy("batch_id").parquet(run_folder(root, run))
+    written = spark.read.schema("datetime string, batch_id string").parquet(run_folder(root, run))
+    found = {row.batch_id for row in written.select("batch_id").distinct().collect()}  # one row per batch
+    if None in found:
+        raise ValueError("counts have rows without a batch id; nothing was published")
+    if batches is not None and found - set(batches):
+        raise ValueError(f"counts have rows of other batches, such as {min(found - set(batches))!r}; nothing was published")
+    runs = [(batch_id, run if batch_id in found else None, None, None) for batch_id in sorted(found | set(batches or []))]
+    if runs:
+        _publish(spark, root, runs)
+
+
+def compact_increments(spark: SparkSession, root: str) -> None:
+    """Add up all published batches once; ``read_counts`` starts from these sums from then on.
+
+    The sums are published with the list of runs they hold. Batches written while this runs are not in the list, and are
+    added by readers. The runs stay, for views by batch and for batches that run again.
     """
-    by_key = counts.select(*STORED).repartition("item_a").sortWithinPartitions("item_a", "item_b", "datetime")
-    by_key.write.mode("overwrite").parquet(batch_folder(root, batch_id))
+    log = read_log(spark, root)
+    if log is None:
+        return
+    tier, runs = uuid.uuid4().hex, published_runs(log)
+    _sorted_rows(read_counts(spark, root, runs)).write.parquet(tier_folder(root, tier))
+    _publish(spark, root, [(None, None, tier, [tuple(run) for run in runs])])
 
 
-def write_increments(counts: DataFrame, root: str) -> None:
-    """Write the counts of several batches, told apart by ``batch_id``, with one job.
+def remove_unpublished(spark: SparkSession, root: str) -> list[str]:
+    """Delete folders of runs and sums that no reader needs any more; returns their names.
 
-    Batches that occur in ``counts`` are replaced as a whole, others stay.
+    Only while nothing writes to the store: a run that is not published yet looks like one that died.
     """
-    known = counts.where(F.coalesce(F.col("batch_id"), F.lit("")) != "")
-    dealt = known.select(*STORED, "batch_id").repartition("batch_id", "item_a")
-    by_key = dealt.sortWithinPartitions("batch_id", "item_a", "item_b", "datetime")
-    writer = by_key.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("batch_id").parquet(root)
+    log = read_log(spark, root)
+    if log is None:
+        return []
+    last = log.where(F.col("tier").isNotNull()).orderBy(F.desc("entry")).limit(1).collect()
+    needed = {f"run={run}" for _, run in published_runs(log)}
+    needed |= {f"run={pair.run}" for row in last for pair in row.merged} | {row.tier for row in last}
+    jvm, removed = spark.sparkContext._jvm, []
+    for pattern in ("runs/run=*", "tiers/*"):
+        for found in matches(spark, f"{root.rstrip('/')}/{pattern}"):
+            path = jvm.org.apache.hadoop.fs.Path(found)
+            if path.getName() not in needed:
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+                removed.append(path.getName())
+    return sorted(removed)

@@ -15,7 +15,7 @@ FILE_COLUMNS = "path string, length bigint"
 LINE_COLUMNS = "path string, line string"
 
 
-def _matches(spark: SparkSession, pattern: str) -> list[str]:
+def matches(spark: SparkSession, pattern: str) -> list[str]:
     """Paths of a file system that match a pattern."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(pattern)
@@ -34,13 +34,13 @@ def _read_present(
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-    present = [folder for folder in folders if _matches(spark, folder)]
+    present = [folder for folder in folders if matches(spark, folder)]
     return read(present) if present else spark.createDataFrame([], columns)
 
 
 def refuse_hidden(spark: SparkSession, folders: list[str]) -> None:
     """An error if a notebook is hidden from Spark's readers: its name starts with ``_`` or ``.``."""
-    hidden = [path for folder in folders for path in _matches(spark, f"{folder.rstrip('/')}/[._]*.ipynb")]
+    hidden = [path for folder in folders for path in matches(spark, f"{folder.rstrip('/')}/[._]*.ipynb")]
     if hidden:
         raise ValueError(f"{len(hidden)} notebooks have hidden names, the first is {hidden[0]}")
 
@@ -80,8 +80,8 @@ def scan_lines(spark: SparkSession, folders: list[str]) -> DataFrame:
 def read_relation(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """CSV with a header, all columns text, a double quote escaped by a double quote.
 
-    Multi-line files are read whole by one task each: give a large relation as a folder of many
-    files, or pass ``multiline=False`` when no field holds a line break.
+    Multi-line files are read whole by one task each; ``read_records`` reads a large one by many.
+    ``multiline=False`` does so too where no field holds a line break.
     """
     return spark.read.csv(path, header=True, multiLine=multiline, escape='"')
 

@@ -9,10 +9,13 @@ from cotrend import (
     append_by_key,
     append_table,
     append_table_per_key,
+    compact_increments,
     keys_present,
+    read_counts,
     read_increments,
     read_table,
     read_trend,
+    remove_unpublished,
     trend,
     trend_by_category,
     trend_pairs_by_category,
@@ -67,6 +70,113 @@ def test_a_second_run_replaces_the_first(spark, tmp_path):
     assert stored(spark, root) == []
 
 
+def failing(spark):
+    """Counts whose job writes some rows and dies at others."""
+    bad = F.when(F.col("id") == 60, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).cast("long")
+    rows = spark.range(0, 100, 1, 4).select(F.lit("numpy").alias("item_a"), F.lit(None).cast("string").alias("item_b"), "id")
+    return with_key(rows.select("item_a", "item_b", F.lit("2017-01").alias("datetime"), bad.alias("lib_counts")))
+
+
+def test_a_run_that_dies_leaves_the_run_before(spark, tmp_path):
+    root = str(tmp_path / "counts")
+    with pytest.raises(Exception, match="lost"):
+        write_increment(failing(spark), root, "b1")
+    assert stored(spark, root) == [] and read_increments(spark, root).columns[-1] == "batch_id"
+    write_increment(frame(spark, FIRST), root, "b1")
+    compact_increments(spark, root)
+    for write in (write_increment, lambda c, r, b: write_increments(c.withColumn("batch_id", F.lit(b)), r)):
+        with pytest.raises(Exception, match="lost"):
+            write(failing(spark), root, "b1")
+        assert stored(spark, root) == summed(spark, root) == keyed(FIRST)
+
+
+def test_unfinished_files_are_not_read(spark, tmp_path):
+    root = str(tmp_path / "counts")
+    write_increment(frame(spark, FIRST), root, "b1")
+    frame(spark, SECOND).drop("library").write.parquet(f"{root}/runs/run=unknown/batch_id=b1")
+    assert stored(spark, root) == keyed(FIRST)
+    write_increment(frame(spark, SECOND), root, "b1")
+    assert stored(spark, root) == keyed(SECOND)
+    removed = remove_unpublished(spark, root)
+    assert len(removed) == 2 and "run=unknown" in removed and stored(spark, root) == keyed(SECOND)
+    assert remove_unpublished(spark, root) == [] and remove_unpublished(spark, str(tmp_path / "new")) == []
+
+
+def test_batches_without_rows_are_cleared_and_bad_ids_are_errors(spark, tmp_path):
+    root = str(tmp_path / "counts")
+    both = frame(spark, FIRST).withColumn("batch_id", F.lit("b1"))
+    both = both.unionByName(frame(spark, SECOND).withColumn("batch_id", F.lit("b2")))
+    write_increments(both, root)
+    for bad in (None, ""):
+        rows_of_none = both.withColumn("batch_id", F.when(F.col("datetime") == "2017-03", F.lit(bad)).otherwise(F.col("batch_id")))
+        with pytest.raises(ValueError, match="without a batch id"):
+            write_increments(rows_of_none, root)
+    with pytest.raises(ValueError, match="'b2'"):
+        write_increments(both, root, ["b1"])
+    assert stored(spark, root) == keyed(FIRST + SECOND)
+    write_increments(both.where("batch_id = 'b1'"), root, ["b1", "b2", "b3"])
+    assert stored(spark, root) == keyed(FIRST)
+    write_increments(both.limit(0), root)  # no batch is named, so none changes
+    assert stored(spark, root) == keyed(FIRST)
+    write_increments(both.limit(0), root, ["b1"])
+    assert stored(spark, root) == summed(spark, root) == []
+
+
+def test_a_root_of_another_layout_is_refused(spark, tmp_path):
+    root = str(tmp_path / "old")
+    frame(spark, FIRST).drop("library").write.parquet(f"{root}/batch_id=b1")
+    with pytest.raises(ValueError, match="without a log"):
+        write_increment(frame(spark, SECOND), root, "b2")
+    assert stored(spark, root) == keyed(FIRST)
+
+
+def summed(spark, root):
+    return rows(read_counts(spark, root).select("library", "datetime", "lib_counts"))
+
+
+def added(*batches):
+    total = {}
+    for key, month, n in sum(batches, []):
+        key = key.replace("+", "_")
+        total[key, month] = total.get((key, month), 0) + n
+    return sorted((*key, n) for key, n in total.items())
+
+
+@pytest.mark.parametrize("compacted_after", [(2,), (1, 3, 5)])
+def test_sums_do_not_depend_on_compaction(spark, tmp_path, compacted_after):
+    """Five writes, of which the fourth runs the first batch again and the fifth clears the second one."""
+    root = str(tmp_path / "counts")
+    third, again = [("numpy", "2017-01", 10), ("pandas", "2017-01", 1)], [("numpy", "2017-01", 30), ("keras", "2017-04", 2)]
+    writes = [("b1", FIRST), ("b2", SECOND), ("b3", third), ("b1", again), ("b2", [])]
+    assert summed(spark, root) == []
+    compact_increments(spark, root)  # nothing to add up yet
+    state = {}
+    for step, (batch_id, data) in enumerate(writes, 1):
+        write_increment(frame(spark, data), root, batch_id)
+        state[batch_id] = data
+        if step in compacted_after:
+            compact_increments(spark, root)
+            remove_unpublished(spark, root)
+        assert summed(spark, root) == added(*state.values())
+    ids = {row.batch_id for row in read_increments(spark, root).select("batch_id").distinct().collect()}
+    assert ids == {"b1", "b3"}
+
+
+def test_a_compacted_store_is_read_from_its_sums(spark, tmp_path):
+    root = str(tmp_path / "counts")
+    for batch_id, data in (("b1", FIRST), ("b2", SECOND)):
+        write_increment(frame(spark, data), root, batch_id)
+    compact_increments(spark, root)
+    text = final_plan(trend(read_counts(spark, root), "numpy")).split("== Initial Plan ==")[0]
+    assert text.count("FileScan") == 1 and "EqualTo(item_a,numpy)" in text
+    assert all("/tiers/" in path for path in read_counts(spark, root).inputFiles())
+    write_increment(frame(spark, SECOND), root, "b3")
+    both = trend(read_counts(spark, root), "numpy")
+    assert rows(both) == [("2017-01", 11), ("2017-02", 1)]
+    text = final_plan(both).split("== Initial Plan ==")[0]
+    assert text.count("FileScan") == 2 and text.count("EqualTo(item_a,numpy)") == 2
+
+
 def test_fan_out_appends(spark, tmp_path):
     root = str(tmp_path / "by-key")
     append_by_key(frame(spark, FIRST), root)
