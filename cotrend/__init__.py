@@ -38,7 +38,7 @@ from cotrend.operators.counts import (
 from cotrend.operators.extract import extract_imports
 from cotrend.operators.relation import date_entities, join_relation
 from cotrend.operators.trends import trend, trend_by_category, trend_pairs_by_category
-from cotrend.plans.batch import notebook_drop_report, notebook_usage, run_batch, run_batches
+from cotrend.plans.batch import notebook_drop_report, notebook_usage, run_batch, run_batches, run_new_files
 from cotrend.session import build_session, scratch_path
 from cotrend.sinks.database import append_table, append_table_per_key
 from cotrend.sinks.increments import (
@@ -60,6 +60,7 @@ from cotrend.sources.files import (
     urls_to_frame,
 )
 from cotrend.sources.increments import read_counts, read_increments
+from cotrend.sources.packed import pack_lines, read_ledger, read_packed
 from cotrend.sources.records import read_records
 
 __all__ = [
@@ -96,6 +97,7 @@ __all__ = [
     "monthly_usage",
     "notebook_drop_report",
     "notebook_usage",
+    "pack_lines",
     "pair_key",
     "pairs_by_array",
     "pairs_by_join",
@@ -104,6 +106,8 @@ __all__ = [
     "preview",
     "read_counts",
     "read_increments",
+    "read_ledger",
+    "read_packed",
     "read_records",
     "read_relation",
     "read_repo_metadata",
@@ -114,6 +118,7 @@ __all__ = [
     "remove_unpublished",
     "run_batch",
     "run_batches",
+    "run_new_files",
     "scan_lines",
     "scratch_path",
     "series_label",

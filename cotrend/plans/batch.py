@@ -13,7 +13,8 @@ from cotrend.operators.relation import date_entities
 from cotrend.sinks.increments import write_increment
 from cotrend.sources.catalogue_file import load_catalogue
 from cotrend.sources.files import read_relation, read_repo_metadata, refuse_hidden, scan_lines
-from cotrend.sources.increments import read_increments
+from cotrend.sources.increments import published_runs, read_increments, read_log
+from cotrend.sources.packed import pack_lines, pack_names, read_packed
 from cotrend.sources.records import read_records
 
 
@@ -48,6 +49,13 @@ def notebook_drop_report(
     return file_drop_report(paths, found, date_entities(relation, metadata, keep_undated=True))
 
 
+def _tables(
+    spark: SparkSession, relation_path: str, metadata_path: str, catalogue_path: str, multiline: bool
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    relation = read_records(spark, relation_path) if multiline else read_relation(spark, relation_path, multiline=False)
+    return relation, read_repo_metadata(spark, metadata_path), load_catalogue(spark, catalogue_path)
+
+
 def run_batch(
     spark: SparkSession,
     folders: list[str],
@@ -64,13 +72,8 @@ def run_batch(
     line break.
     """
     refuse_hidden(spark, folders)
-    counts = notebook_usage(
-        scan_lines(spark, folders),
-        read_records(spark, relation_path) if multiline else read_relation(spark, relation_path, multiline=False),
-        read_repo_metadata(spark, metadata_path),
-        load_catalogue(spark, catalogue_path),
-    )
-    write_increment(counts, root, batch_id)
+    tables = _tables(spark, relation_path, metadata_path, catalogue_path, multiline)
+    write_increment(notebook_usage(scan_lines(spark, folders), *tables), root, batch_id)
     stored = read_increments(spark, root)
     return stored.where(F.col("batch_id") == batch_id)
 
@@ -95,3 +98,29 @@ def run_batches(
     for folder, batch_id in zip(folders, ids):
         run_batch(spark, [folder], relation_path, metadata_path, catalogue_path, root, batch_id, multiline)
     return read_increments(spark, root).where(F.col("batch_id").isin(ids))
+
+
+def run_new_files(
+    spark: SparkSession,
+    folders: list[str],
+    relation_path: str,
+    metadata_path: str,
+    catalogue_path: str,
+    root: str,
+    store: str,
+    multiline: bool = True,
+) -> DataFrame:
+    """Count the files that were added to the folders since the last call; returns the counts this call stored.
+
+    The new files are packed into ``store`` and become one batch, named by their pack. Packs whose counts were not published,
+    because a run died in between, are counted too, so calling again is always safe and no file counts twice.
+    """
+    pack_lines(spark, folders, store)
+    log = read_log(spark, root)
+    counted = set() if log is None else {run.batch_id for run in published_runs(log)}
+    waiting = [pack for pack in pack_names(spark, store) if pack not in counted]
+    if waiting:
+        tables = _tables(spark, relation_path, metadata_path, catalogue_path, multiline)
+        for pack in waiting:
+            write_increment(notebook_usage(read_packed(spark, store, [pack]), *tables), root, pack)
+    return read_increments(spark, root).where(F.col("batch_id").isin(waiting))

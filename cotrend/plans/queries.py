@@ -22,6 +22,7 @@ from cotrend.sinks.increments import append_by_key, compact_increments, write_in
 from cotrend.sources import files
 from cotrend.sources.catalogue_file import load_catalogue
 from cotrend.sources.increments import read_counts, read_increments
+from cotrend.sources.packed import pack_lines, read_packed
 from cotrend.sources.records import read_records
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -207,6 +208,20 @@ def _documents_as_csv(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+@query(
+    """SELECT 1 AS pack, unnest(string_split(text, chr(10))) AS line FROM documents
+UNION ALL
+SELECT 2, unnest(string_split(text, chr(10))) FROM conversations"""
+)
+def packed_lines(spark, sf_dir):
+    """A folder that grows between two calls: the second one packs the new files only."""
+    folder, store = scratch_path(spark, "growing"), scratch_path(spark, "packed")
+    for name in ("documents", "conversations"):
+        tb.table(spark, sf_dir, name).select("text").write.mode("append").text(folder)
+        pack_lines(spark, [folder], store)
+    return read_packed(spark, store).select(F.substring_index("pack", "-", 1).cast("int").alias("pack"), "line")
+
+
 @query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang FROM documents")
 def scan_csv_multiline(spark, sf_dir):
     return files.read_relation(spark, _documents_as_csv(spark, sf_dir)).select("doc_id", "text", "lang")

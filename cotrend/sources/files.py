@@ -23,7 +23,7 @@ def matches(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in found or []]
 
 
-def _read_present(
+def read_present(
     spark: SparkSession, folders: list[str], read: Callable[[list[str]], DataFrame], columns: str
 ) -> DataFrame:
     """One scan of the folders that exist; a folder given twice is an error, as its rows would count twice."""
@@ -56,7 +56,7 @@ def list_files(spark: SparkSession, folders: list[str]) -> DataFrame:
     def read(paths: list[str]) -> DataFrame:
         return spark.read.format("binaryFile").load(paths).select("path", "length")
 
-    return _read_present(spark, folders, read, FILE_COLUMNS)
+    return read_present(spark, folders, read, FILE_COLUMNS)
 
 
 def urls_to_frame(spark: SparkSession, urls: list[str]) -> DataFrame:
@@ -74,7 +74,7 @@ def scan_lines(spark: SparkSession, folders: list[str]) -> DataFrame:
         rows = spark.read.text(paths, lineSep="\n")
         return rows.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
 
-    return _read_present(spark, folders, read, LINE_COLUMNS)
+    return read_present(spark, folders, read, LINE_COLUMNS)
 
 
 def read_relation(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
