@@ -6,6 +6,8 @@ import os
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +30,40 @@ def crc_remainder(key: Column, divisor: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % F.lit(divisor)
 
 
+#: Where the paths of scratch tables are noted, if anybody wants to delete them later.
+_noted: ContextVar[list[str] | None] = ContextVar("noted", default=None)
+
+
+@contextmanager
+def noted_scratch() -> Iterator[list[str]]:
+    """The paths of the scratch tables that are written inside the block."""
+    paths: list[str] = []
+    token = _noted.set(paths)
+    try:
+        yield paths
+    finally:
+        _noted.reset(token)
+
+
+def delete_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch tables that nothing reads any more, in whatever file system they are."""
+    for path in paths:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def row_keys(docs: DataFrame) -> DataFrame:
+    """``docs`` with two whole numbers, ``_file`` and ``_at``, that tell its rows apart and are the same whenever they are read.
+
+    A Parquet table that is read as it is has them already: a hash of the file's name and the row's place in the file. Any
+    other frame is written once, as what computes it may deal its rows otherwise the next time.
+    """
+    if docs._jdf.queryExecution().analyzed().nodeName() != "LogicalRelation":
+        docs = stored(docs, "numbered")
+    keys = [F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at")]
+    return docs.select(*[F.col(f"`{name}`") for name in docs.columns], *keys)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df``, written once to the shared scratch folder and read again.
 
@@ -35,6 +71,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark: SparkSession = df.sparkSession
     path = scratch_path(spark, name)
+    noted = _noted.get()
+    if noted is not None:
+        noted.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

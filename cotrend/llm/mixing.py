@@ -135,14 +135,14 @@ def land(size: np.ndarray, chance: np.ndarray) -> np.ndarray:
     return p
 
 
-def draw_extra(rows: DataFrame, seed: int, key: str | None = None) -> DataFrame:
+def draw_extra(rows: DataFrame, seed: int, key: tuple[str, ...] = ()) -> DataFrame:
     """``chance`` decided to 0 or 1: rows of ``doc_id``, ``source``, ``size``, ``chance``, balanced within each source.
 
-    The column ``key``, a whole number, comes along.
+    The columns in ``key``, whole numbers, come along.
     """
     spark = rows.sparkSession
     ship_package(spark)
-    own = [key] if key else []
+    own = list(key)
     schema = "doc_id long, source string, size long, chance double, place long" + "".join(f", `{k}` long" for k in own)
     place = F.xxhash64("doc_id", "size", F.lit(seed)).alias("place")
     undecided = rows.select("doc_id", "source", "size", "chance", place, *own)
@@ -180,13 +180,13 @@ def mix(
     share: float = 1.5,
     limit: float = 2.0,
     seed: int = 17,
-    key: str | None = None,
+    key: tuple[str, ...] = (),
 ) -> DataFrame:
     """``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``copies``, ``taken`` (words, repeats counted).
 
-    ``key`` names a column of whole numbers that tells rows apart where ``doc_id`` does not; it comes last in the result.
+    ``key`` names columns of whole numbers that tell rows apart where ``doc_id`` does not; they come last in the result.
     """
-    own = [key] if key else []
+    own = list(key)
     sized = stored(docs.select(F.col("doc_id").cast("long"), "source", size_of(F.col("text")).alias("size"), *own), "sizes")
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = stored(set_targets(weigh_sources(sources, weights), share, limit), "targets")

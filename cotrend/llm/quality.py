@@ -14,6 +14,7 @@ kinds the score is the share of label 1 (0.5 without any label); repeated rows a
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -191,6 +192,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep(docs: DataFrame, model: Model, least: float) -> DataFrame:
-    """The rows of ``docs``, unchanged, whose score is ``least`` or more."""
-    passed = with_statistics(docs).where((model.column() >= least) & (F.col("_row") >= 0))
-    return passed.select(docs.columns)
+    """The rows of ``docs``, unchanged, whose score is ``least`` or more; columns may have any names."""
+    # columns that are named like the statistics step aside meanwhile
+    clashing = [name for name in docs.columns if name.lower() == "_row" or name.lower().startswith("_stat_")]
+    aside = {name: f"_aside_{uuid.uuid4().hex}" for name in clashing}
+    passed = with_statistics(docs.withColumnsRenamed(aside)).where((model.column() >= least) & (F.col("_row") >= 0))
+    return passed.select([F.col(f"`{aside.get(name, name)}`").alias(name) for name in docs.columns])

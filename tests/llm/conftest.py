@@ -13,7 +13,7 @@ def documents(spark):
         full = [(i, t, lang, s, None if t is None else len(t)) for i, t, lang, s in rows]
         df = spark.createDataFrame(full, "doc_id long, text string, lang string, source string, n_chars long")
         if clash:
-            for name in ("score", "ids", "n", "key", "row", "stats", "hash", "size", "copies", "block", "words", "digest", "_word"):
+            for name in ("score", "ids", "n", "key", "row", "stats", "hash", "size", "copies", "block", "words", "digest", "_word", "_row", "_stat_chars", "_file", "_at"):
                 df = df.selectExpr("*", f"'x' as `{name}`")
         return df.repartition(3)
 
