@@ -52,16 +52,15 @@ def delete_paths(spark: SparkSession, paths: list[str]) -> None:
         where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def row_keys(docs: DataFrame) -> DataFrame:
-    """``docs`` with two whole numbers, ``_file`` and ``_at``, that tell its rows apart and are the same whenever they are read.
+def row_keys(docs: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` of ``docs`` with two whole numbers, ``_file`` and ``_at``, that tell rows apart and are the same at every read.
 
     A Parquet table that is read as it is has them already: a hash of the file's name and the row's place in the file. Any
     other frame is written once, as what computes it may deal its rows otherwise the next time.
     """
     if docs._jdf.queryExecution().analyzed().nodeName() != "LogicalRelation":
-        docs = stored(docs, "numbered")
-    keys = [F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at")]
-    return docs.select(*[F.col(f"`{name}`") for name in docs.columns], *keys)
+        docs = stored(docs.select(*columns), "numbered")
+    return docs.select(*columns, F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -12,9 +12,10 @@ Size: a filter pair has about ``BITS_PER_LINE`` bits per line up to ``max_filter
 broadcast (16 MiB by default). Past that size filters get fuller and more lines are suspected, with the same result.
 
 Cases: a null text is an empty text, which has one empty line; empty keys are never dropped; rows that repeat a doc_id are
-one document for counting and each lose their lines; rows without doc_id count as one document together and keep theirs;
+one document for counting and each lose their lines; every row without a doc_id is a document of its own, after all others;
 the key is the line without white space at both ends and with A-Z lower-cased; of equal first places the smaller doc_id,
-then the earlier line, is first; an empty table gives an empty table.
+then the earlier line, is first; very long texts are read whole; columns that are not named are not looked at; an empty table
+gives an empty table.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cotrend.llm.common import SPACE_BYTES, in_parts, map_batches, ship_package, stored, texts
+from cotrend.llm.common import SPACE_BYTES, in_parts, map_batches, row_keys, ship_package, stored
 
 BITS_PER_LINE = 16
 PROBES = 3
@@ -138,32 +139,32 @@ def twice_seen(docs: DataFrame, slices: int, log_bits: int) -> list[Bloom]:
     return filters
 
 
-def find_repeats(docs: DataFrame, min_docs: int, max_filter_bits: int = 1 << 27) -> DataFrame:
-    """``doc_id``, ``key`` of every line key that at least ``min_docs`` documents hold, with its first occurrence.
+def find_repeats(rows: DataFrame, min_docs: int, max_filter_bits: int = 1 << 27) -> DataFrame:
+    """``_file``, ``_at``, ``key`` of every row and line key that at least ``min_docs`` documents hold, with its first occurrence.
 
-    ``first_doc`` and ``first_line`` say where the key comes first. ``min_docs`` is 2 or more.
+    ``rows`` has ``doc_id``, ``text`` without nulls, and the keys of rows ``_file`` and ``_at``. ``first`` is the document
+    (its doc_id, and the keys of the row where that is null) and the line where the key comes first. ``min_docs`` is 2 or more.
     """
     if min_docs < 2:
         raise ValueError("a repeated line is in two documents at least")
-    rows = texts(docs)
     breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))
     lines = rows.agg(F.sum(breaks + 1)).first()[0] or 0
     slices = int(max(1, min(-(-lines // LINES_PER_SLICE), max_filter_bits // (BITS_PER_LINE * LINES_PER_SLICE))))
     log_bits = int(BITS_PER_LINE * LINES_PER_SLICE).bit_length() - 1
     if lines < LINES_PER_SLICE:
         log_bits = max(10, int(BITS_PER_LINE * lines).bit_length())
-    shared = docs.sparkSession.sparkContext.broadcast(twice_seen(rows, slices, log_bits))
+    shared = rows.sparkSession.sparkContext.broadcast(twice_seen(rows, slices, log_bits))
 
     def suspect(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ids, keys, places = [], [], []
-        found: list[tuple[int, dict[bytes, int]]] = []
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+        of_row, keys, places = [], [], []
+        found: list[dict[bytes, int]] = []
+        for text in batch.column("text").to_pylist():
             first: dict[bytes, int] = {}
             for place, key in enumerate(keys_of(text)):
                 if key and key not in first:
                     first[key] = place
-            found.append((doc_id, first))
-        every = [k for _, first in found for k in first]
+            found.append(first)
+        every = [k for first in found for k in first]
         hashes = hashes_of(every)
         part = slice_of(hashes, slices)
         hit = np.zeros(len(every), bool)
@@ -172,30 +173,32 @@ def find_repeats(docs: DataFrame, min_docs: int, max_filter_bits: int = 1 << 27)
             if len(shared.value[number].bytes):
                 hit[own] = shared.value[number].holds(hashes[own])
         hits = iter(hit.tolist())
-        for doc_id, first in found:
+        for number, first in enumerate(found):
             for key, place in first.items():
                 if next(hits):
-                    ids.append(doc_id)
+                    of_row.append(number)
                     keys.append(key)
                     places.append(place)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array(places, pa.int32())],
-            ["doc_id", "key", "line"],
-        )
+        own = [batch.column(c).take(pa.array(of_row, pa.int64())) for c in ("doc_id", "_file", "_at")]
+        columns = [*own, pa.array(keys, pa.binary()), pa.array(places, pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "_file", "_at", "key", "line"])
 
-    lines_at = map_batches(rows.select(F.col("doc_id").cast("long"), "text"), suspect, "doc_id long, key binary, line int")
+    held = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "_file", "_at", "text")
+    lines_at = map_batches(held, suspect, "doc_id long, _file long, _at long, key binary, line int")
     suspects = stored(lines_at, "line-suspects")
     # a document counts once per key: the map side sends one row per key and document, rows of one doc_id are merged here
-    per_doc = suspects.groupBy("key", "doc_id").agg(F.min("line").alias("line"))
+    none = F.col("doc_id").isNull()
+    document = F.struct(none.alias("none"), "doc_id", *[F.when(none, F.col(c)).alias(c) for c in ("_file", "_at")])
+    per_doc = suspects.groupBy("key", document.alias("document")).agg(F.min("line").alias("line"))
     confirmed = (
         per_doc.groupBy("key")
-        .agg(F.count("*").alias("n_docs"), F.min(F.struct("doc_id", "line")).alias("first"))
+        .agg(F.count("*").alias("n_docs"), F.min(F.struct("document", "line")).alias("first"))
         .where(F.col("n_docs") >= min_docs)
-        .select("key", F.col("first.doc_id").alias("first_doc"), F.col("first.line").alias("first_line"))
+        .select("key", "first")
     )
     # written, so that both sides of the join come straight from a shuffle, which can split a key of very many rows
     confirmed = stored(confirmed, "repeated-lines")
-    return suspects.select("doc_id", "key").join(confirmed, "key")
+    return suspects.select(document.alias("document"), "_file", "_at", "key").join(confirmed, "key")
 
 
 def drop_repeated_lines(docs: DataFrame, min_docs: int = 10, keep_first: bool = False, *more: str) -> DataFrame:
@@ -203,11 +206,14 @@ def drop_repeated_lines(docs: DataFrame, min_docs: int = 10, keep_first: bool =
 
     ``keep_first`` keeps the line where a key comes first of all; otherwise all lines of a repeated key go.
     """
-    repeats = find_repeats(docs, min_docs)
-    first_line = F.when(F.lit(keep_first) & (F.col("first_doc") == F.col("doc_id")), F.col("first_line")).otherwise(-1)
-    drops = repeats.groupBy("doc_id").agg(F.collect_set(F.struct("key", first_line.alias("stays"))).alias("drops"))
-    rows = texts(docs, *[F.col(c) for c in more]).withColumnRenamed("doc_id", "row_id")
-    met = rows.join(drops, F.col("row_id") == F.col("doc_id"), "left").drop("doc_id")
+    rows = row_keys(docs, "doc_id", "text", *more)
+    rows = rows.withColumn("text", F.coalesce("text", F.lit("")))
+    repeats = find_repeats(rows, min_docs)
+    here = F.col("first.document").eqNullSafe(F.col("document"))
+    first_line = F.when(F.lit(keep_first) & here, F.col("first.line")).otherwise(-1)
+    # a row has a drop for each of its own lines at most
+    drops = repeats.groupBy("_file", "_at").agg(F.collect_set(F.struct("key", first_line.alias("stays"))).alias("drops"))
+    met = rows.join(drops, ["_file", "_at"], "left").drop("_file", "_at")
 
     def apply(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         kept_texts, sizes, dropped = [], [], []
@@ -230,5 +236,4 @@ def drop_repeated_lines(docs: DataFrame, min_docs: int = 10, keep_first: bool =
         yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in met.schema if f.name not in ("text", "drops"))
-    out = map_batches(met, apply, f"{fields}, text string, n_lines long, n_dropped long")
-    return out.withColumnRenamed("row_id", "doc_id")
+    return map_batches(met, apply, f"{fields}, text string, n_lines long, n_dropped long")

@@ -91,18 +91,18 @@ def op2_quality(spark, sf_dir):
 
 
 @query(
-    """WITH lines AS (
-  SELECT doc_id, unnest(pos) AS i, unnest(parts) AS line FROM (
-    SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts,
-           generate_series(1, len(string_split(coalesce(text, ''), chr(10)))) AS pos FROM documents)),
+    """WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+lines AS (SELECT rid, doc_id, unnest(generate_series(1, len(parts))) AS i, unnest(parts) AS line FROM docs),
 keyed AS (
-  SELECT doc_id, i, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+  SELECT rid, doc_id, i, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
 common AS (
-  SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+  SELECT key FROM keyed WHERE key <> '' GROUP BY key
+  HAVING count(DISTINCT doc_id) + count(DISTINCT rid) FILTER (WHERE doc_id IS NULL) >= 10)
 SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
-FROM keyed k LEFT JOIN common c ON k.key = c.key GROUP BY doc_id"""
+FROM keyed k LEFT JOIN common c ON k.key = c.key GROUP BY rid, doc_id"""
 )
 def op5_line_dedup(spark, sf_dir):
     kept = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"), min_docs=10)

@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -17,21 +18,21 @@ def brute(rows, least):
         return line.strip(" \t\n\x0b\x0c\r").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
 
     docs = defaultdict(set)
-    for doc_id, text, *_ in rows:
+    for row, (doc_id, text, *_) in enumerate(rows):
         for line in (text or "").split("\n"):
-            docs[key(line)].add(doc_id)
+            docs[key(line)].add(("row", row) if doc_id is None else doc_id)
     common = {k for k, ids in docs.items() if k and len(ids) >= least}
     out = []
     for doc_id, text, *_ in rows:
         lines = (text or "").split("\n")
         kept = [line for line in lines if key(line) not in common]
         out.append((doc_id, len(lines), len(lines) - len(kept), "\n".join(kept)))
-    return sorted(out)
+    return sorted(out, key=repr)
 
 
 def result(df, least, **options):
     kept = line_dedup.drop_repeated_lines(df, least, **options)
-    return sorted((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in kept.collect())
+    return sorted(((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in kept.collect()), key=repr)
 
 
 ROWS = [
@@ -62,6 +63,23 @@ def test_random_lines(documents):
     assert result(documents(rows), 10) == brute(rows, 10)
 
 
+@pytest.mark.parametrize("known, unknown, shared", [(10, 2, True), (9, 1, True), (8, 1, False), (0, 10, True), (0, 9, False)])
+def test_rows_without_a_doc_id_are_documents_of_their_own(documents, spark, tmp_path, known, unknown, shared):
+    rows = [(i, f"Shared\nown {i}", "en", "a") for i in range(known)] + [(None, f"shared \nnull {i}", "en", "a") for i in range(unknown)]
+    rows += [(50, "x", "en", "a"), (50, "x\ny", "en", "b"), (None, None, None, None), (None, "", "en", "a")]
+    docs = documents(rows)
+    found = result(docs, 10)
+    assert found == brute(rows, 10)
+    assert any(n for _, _, n, _ in found) == shared
+    docs.select("doc_id", "text").write.parquet(str(tmp_path / "documents.parquet"))
+    from cotrend.llm.queries import QUERIES, SQL
+
+    ours = QUERIES["op5_line_dedup"](spark, str(tmp_path))
+    with duckdb.connect() as db:
+        db.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+        assert sorted(map(tuple, ours.collect()), key=repr) == sorted(db.sql(SQL["op5_line_dedup"]).fetchall(), key=repr)
+
+
 def test_full_filters_change_nothing(documents, monkeypatch):
     monkeypatch.setattr(line_dedup, "LINES_PER_SLICE", 2)
     monkeypatch.setattr(line_dedup, "BITS_PER_LINE", 4)
