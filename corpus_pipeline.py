@@ -73,7 +73,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows are told apart by their place in the table, so each is judged on its own, also where a doc_id is null or repeated. What
     goes is decided on keys alone; only rows that may go meet the keys of those that do, the others do not move.
     """
-    keyed = row_keys(docs.select(*COLUMNS) if docs.columns != list(COLUMNS) else docs)
+    keyed = row_keys(docs, *COLUMNS)
     digits = [F.lpad(F.hex(name), 16, "0") for name in ("_file", "_at")]
     named = keyed.select("doc_id", "text", F.unhex(F.concat(*digits)).alias("of_row"))
     groups = jaccard_join.similar_groups(named, SHINGLE_WORDS, SIMILAR_PERCENT, "of_row").where(F.col("component").isNotNull())
@@ -93,7 +93,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 @stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows as often as the mix takes them, each on its own, also where a doc_id is null or repeated."""
-    keyed = row_keys(docs.select(*COLUMNS) if docs.columns != list(COLUMNS) else docs)
+    keyed = row_keys(docs, *COLUMNS)
     mixed = mixing.mix(keyed, WEIGHTS, SHARE, LIMIT, key=("_file", "_at")).where(F.col("copies") > 0)
     met = keyed.join(mixed.select("_file", "_at", F.col("copies").cast("int").alias("copies")), ["_file", "_at"])
     return met.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
