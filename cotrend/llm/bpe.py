@@ -9,7 +9,12 @@ the end of a word". It is read on the driver and broadcast: its size does not de
 
 Cases: a null text counts as empty; an empty text has no ids and decodes to the empty text; a text of white
 space only likewise; rows are encoded one by one, so repeated rows and ties need no rule; an empty table gives
-an empty table; ids outside the vocabulary are an error on decoding, null ids decode like no ids.
+an empty table; ids outside the vocabulary are an error on decoding, null ids decode like no ids; texts of any length
+are encoded whole; columns other than doc_id and text are not looked at, whatever their names.
+
+The tables of characters of Python, of ``regex`` and of ``tokenizers`` come from different versions of Unicode. The driver asks
+once which characters they treat differently (``odd_characters``); texts that hold one are normalised and cut into words by
+the library's own normaliser and pattern, all others by the faster ones here. Words are encoded alike.
 """
 
 from __future__ import annotations
@@ -18,7 +23,8 @@ import heapq
 import json
 import unicodedata
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +32,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 from cotrend.llm.common import map_batches
 
@@ -37,6 +44,39 @@ KEPT_LENGTH = 40
 SHORT = 24
 
 
+#: One mark of each of several combining classes, as probes for the order in which marks are composed.
+MARKS = "\u0334\u3099\u094d\u05b0\u0321\u0323\u0301\u0345"
+
+
+@lru_cache(maxsize=1)
+def odd_characters() -> str:
+    """All characters whose class, lower case or combining class differs between the libraries, in order."""
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and chr(c) != "\n"]
+    blocks = [every[i : i + 4096] for i in range(0, len(every), 4096)]
+    odd: set[str] = set()
+    for name in (r"\p{L}", r"\p{N}", r"\s"):
+        theirs = pre_tokenizers.Split(Regex(f"{name}+"), "removed", invert=True)
+        ours = regex.compile(name).findall
+        for block in blocks:
+            text = "".join(block)
+            odd |= set(ours(text)) ^ set("".join(piece for piece, _ in theirs.pre_tokenize_str(text)))
+
+    def compare(probe: Callable[[str], str], theirs: Callable[[str], str], ours: Callable[[str], str], among: list) -> None:
+        for block in among:
+            text = "\n".join(map(probe, block))  # a line break stays apart in all that is compared
+            pairs = zip(block, theirs(text).split("\n"), ours(text).split("\n"))
+            odd.update(c for c, a, b in pairs if a != b)
+
+    compose, composed = normalizers.NFC().normalize_str, partial(unicodedata.normalize, "NFC")
+    compare(lambda c: c, normalizers.Lowercase().normalize_str, lambda text: text.replace("Σ", "σ").lower(), blocks)
+    compare(lambda c: f"a{c}\u0301", compose, composed, blocks)
+    marks = [[c for c in every if unicodedata.combining(c)]]
+    for mark in MARKS:
+        compare(lambda c, m=mark: f"a{c}{m}", compose, composed, marks)
+        compare(lambda c, m=mark: f"a{m}{c}", compose, composed, marks)
+    return "".join(sorted(odd))
+
+
 def byte_symbols() -> list[str]:
     """The printable symbol of each byte in byte-level vocabularies."""
     plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -47,8 +87,10 @@ def byte_symbols() -> list[str]:
 class Vocabulary:
     """Tokens, merges and certain cuts of one vocabulary file."""
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, odd: str | None = None):
         data = json.loads(spec)
+        odd = odd_characters() if odd is None else odd
+        self.find_odd = regex.compile(f"[{regex.escape(odd)}]").search if odd else lambda text: None
         model = data["model"]
         self.suffix: str = model["end_of_word_suffix"] or ""
         self.ids: dict[str, int] = model["vocab"]
@@ -70,6 +112,8 @@ class Vocabulary:
             self.joinable.update(raw[i : i + 2] for i in range(len(raw) - 1))
         pattern = data["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.find_words = regex.compile(pattern).findall
+        self.split_odd = pre_tokenizers.Split(Regex(pattern), "removed", invert=True).pre_tokenize_str
+        self.normalise_odd = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()]).normalize_str
         self.split_added = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")").split if self.added else None
         self.token_list = pa.array([self.tokens.get(i) for i in range(max(self.tokens) + 1)], pa.string())
         self.kept: dict[str, bytes] = {}
@@ -165,6 +209,8 @@ class Vocabulary:
         No word of the pattern holds white space, so text between white space is looked up as a whole.
         """
         if not text.isascii():
+            if self.find_odd(text):
+                return b"".join([self.encode_word(word) for word, _ in self.split_odd(self.normalise_odd(text))])
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         text = text.lower()
         if NOT_SPACE.search(text):  # str.split() takes these for white space, the pattern does not
@@ -186,19 +232,19 @@ NOT_SPACE = regex.compile(r"[\x1C-\x1F]")
 _open: dict[int, Vocabulary] = {}
 
 
-def opened(spec: str) -> Vocabulary:
-    """The vocabulary of a file's content, set up once per Python worker."""
+def opened(spec: tuple[str, str]) -> Vocabulary:
+    """The vocabulary of a file's content and the odd characters, set up once per Python worker."""
     key = hash(spec)
     if key not in _open:
         _open.clear()
-        _open[key] = Vocabulary(spec)
+        _open[key] = Vocabulary(*spec)
     return _open[key]
 
 
 def encode(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     """``doc_id``, ``ids``: the token ids of every whole text, without special tokens put in."""
     with open(vocabulary_path, encoding="utf-8") as file:
-        spec = docs.sparkSession.sparkContext.broadcast(file.read())
+        spec = docs.sparkSession.sparkContext.broadcast((file.read(), odd_characters()))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         vocabulary = opened(spec.value)
@@ -215,7 +261,7 @@ def encode(docs: DataFrame, vocabulary_path: str) -> DataFrame:
 def decode(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
     """``doc_id``, ``ids``, ``text``: the tokens of each list of ids, joined as a file without decoder says."""
     with open(vocabulary_path, encoding="utf-8") as file:
-        spec = encoded.sparkSession.sparkContext.broadcast(file.read())
+        spec = encoded.sparkSession.sparkContext.broadcast((file.read(), odd_characters()))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids = batch.column("ids")

@@ -42,6 +42,21 @@ def test_same_ids_on_random_text(mine, library, text):
     assert ids(mine, text) == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("context, step", [("{}", 1), ("a{}b1", 16), ("é{}\u0301 x", 16)])
+def test_every_code_point(mine, library, context, step):
+    odd = set(map(ord, bpe.odd_characters()))
+    texts = [context.format(chr(c)) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c % step == 0 or c in odd)]
+    found = library.encode_batch(texts, add_special_tokens=False)
+    assert [t for t, e in zip(texts, found) if ids(mine, t) != e.ids] == []
+
+
+def test_odd_characters_among_others(mine, library):
+    odd = bpe.odd_characters()
+    for k in range(0, len(odd), 37):
+        text = f"Straße {odd[k : k + 5]}ΣΑΣ a\u0323\u0301{odd[k]}\u0323 \x1c12\u2028{odd[k]}"
+        assert ids(mine, text) == library.encode(text, add_special_tokens=False).ids
+
+
 def test_cuts_are_certain(mine):
     for token in list(mine.ids)[::97]:
         raw = bytes(bpe.byte_symbols().index(c) for c in token.removesuffix(mine.suffix))
