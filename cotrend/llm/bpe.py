@@ -90,7 +90,7 @@ class Vocabulary:
     def __init__(self, spec: str, odd: str | None = None):
         data = json.loads(spec)
         odd = odd_characters() if odd is None else odd
-        self.find_odd = regex.compile(f"[{regex.escape(odd)}]").search if odd else lambda text: None
+        self.odd = frozenset(odd)
         model = data["model"]
         self.suffix: str = model["end_of_word_suffix"] or ""
         self.ids: dict[str, int] = model["vocab"]
@@ -209,7 +209,7 @@ class Vocabulary:
         No word of the pattern holds white space, so text between white space is looked up as a whole.
         """
         if not text.isascii():
-            if self.find_odd(text):
+            if not self.odd.isdisjoint(text):
                 return b"".join([self.encode_word(word) for word, _ in self.split_odd(self.normalise_odd(text))])
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         text = text.lower()
