@@ -30,9 +30,11 @@ def append_by_key(counts: DataFrame, path: str) -> None:
     """Append to a table with one folder per key text. A second run of the same batch counts twice.
 
     For small catalogues: the number of folders grows with the square of the tools. One folder
-    gets one file per append, and as few tasks write as adaptive execution sees fit.
+    gets one file per append. Opening folders is the work here, not the rows, so the tasks are as many as the session's
+    shuffle partitions: left to itself, adaptive execution gathers the few rows in one task that opens every folder.
     """
-    by_key = counts.select("library", *STORED).repartition("library")
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_key = counts.select("library", *STORED).repartition(tasks, "library")
     by_key.write.partitionBy("library").mode("append").parquet(path)
 
 
