@@ -8,13 +8,17 @@ of the softmax and the score below which a prediction is marked as rejected.
 Since both layers are linear, a row of the table and the softmax collapse into one score per language, and a text is
 scored by summing those: no embedding is formed at prediction time.
 
-Bounds: ``sample_rows`` training rows in all, shared evenly by the ``max_languages`` most frequent languages; only their
-counts per hashed run reach the driver. Every text is scored whole.
+Bounds: ``sample_rows`` training rows in all, shared evenly by all languages, but ``least_rows`` for each; a table with so many
+languages that this would pass ``most_rows`` is an error, none is left out in silence. Only counts per hashed run reach the
+driver, at most ``row_entries`` a row (of a training text with more different runs the most frequent count), so 20 MB to 80 MB
+for ``sample_rows`` and 400 MB at ``most_rows``. Every text is scored whole; with many languages it is scored through its
+embedding, so a text needs ``DIMENSION`` numbers a byte at most.
 
 Cases: a null text, or one without a letter, gets ``und`` with score 0 and is marked as rejected, and so does every
-text when there is nothing to learn from; null languages teach nothing; a language learned from one row is a language;
+text when there is nothing to learn from (an empty table, for one); null languages teach nothing; a language learned from one row is a language;
 ties go to the language that is first in code-point order; rows that agree in doc_id and language teach once (by the first
-text in order).
+text in order), rows without a doc_id too; very long texts take part whole; columns beside ``doc_id``, ``text`` and ``lang`` are
+left out, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cotrend.llm.common import map_batches
@@ -44,6 +48,7 @@ class Model:
     languages: list[str]
     scores: np.ndarray  # one row per hashed run, one column per language, divided by the temperature
     bias: np.ndarray
+    weights: np.ndarray | None  # with more languages than dimensions, ``scores`` are embeddings and meet these weights
     reject_below: float
 
 
@@ -71,35 +76,62 @@ def run_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(rows, return_counts=True)
 
 
+def most_frequent(rows: np.ndarray, counts: np.ndarray, entries: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``entries`` most frequent runs, ties to the smaller hash, in order of their hashes."""
+    if len(rows) <= entries:
+        return rows, counts
+    best = np.sort(np.argsort(-counts, kind="stable")[:entries])
+    return rows[best], counts[best]
+
+
 def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def training_rows(docs: DataFrame, sample_rows: int, max_languages: int, seed: int) -> DataFrame:
-    """A bounded sample of different ``doc_id``, ``lang``, with an even share for each language."""
-    known = docs.where(F.col("lang").isNotNull())
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
-    if not sizes:
-        return known.limit(0)
-    share = max(1, sample_rows // len(sizes))
+def training_rows(docs: DataFrame, sample_rows: int, least_rows: int, most_rows: int, seed: int) -> DataFrame:
+    """Different ``doc_id``, ``lang``: of each language the first rows by a hashed place, an even share for all.
+
+    Only rows that can be learned from are counted and drawn, so no language of the table is left out.
+    """
     place = F.xxhash64(F.col("doc_id"), F.lit(seed))
-    fraction = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, share / r["count"]))])
-    low = (place / F.lit(2.0**64) + F.lit(0.5)) < fraction[F.col("lang")]
-    return known.where(low).select("doc_id", "lang").distinct().orderBy(place, "doc_id", "lang").limit(sample_rows)
+    known = docs.where(F.col("lang").isNotNull() & has_letter(F.col("text"))).select("doc_id", "lang", place.alias("place"))
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n"), F.min("place").alias("first"))
+    found = sizes.limit(most_rows // least_rows + 1).collect()  # one row per language
+    if len(found) * least_rows > most_rows:
+        raise ValueError(f"there are more than {most_rows // least_rows} languages to learn; raise most_rows")
+    if not found:
+        return known.select("doc_id", "lang").limit(0)
+    share = max(least_rows, sample_rows // len(found))
+    # a few times the share pass by chance, the first place of a language always does; ranks then cut what is too much
+    cut = [(r.lang, min(1.0, (4 * share + 20) / r.n), r.first) for r in found]
+    cuts = F.broadcast(docs.sparkSession.createDataFrame(cut, "lang string, fraction double, first long"))
+    chance = F.col("place") / F.lit(2.0**64) + F.lit(0.5)
+    low = known.join(cuts, "lang").where((chance < F.col("fraction")) | (F.col("place") == F.col("first")))
+    drawn = low.select("doc_id", "lang", "place").distinct()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id"))
+    return drawn.withColumn("rank", rank).where(F.col("rank") <= share).select("doc_id", "lang")
 
 
 def fit(
-    docs: DataFrame, sample_rows: int = 2400, max_languages: int = 400, epochs: int = 8, seed: int = 11
+    docs: DataFrame,
+    sample_rows: int = 2400,
+    least_rows: int = 6,
+    most_rows: int = 12_000,
+    row_entries: int = 4096,
+    epochs: int = 8,
+    seed: int = 11,
 ) -> Model | None:
     """Train on ``doc_id``, ``text``, ``lang``; None when no row can be learned from."""
-    chosen = training_rows(docs.select("doc_id", "lang"), sample_rows, max_languages, seed)
-    pairs = F.broadcast(chosen)  # at most sample_rows
-    met = docs.where(F.col("lang").isNotNull() & has_letter(F.col("text"))).join(pairs, ["doc_id", "lang"])
+    chosen = training_rows(docs.select("doc_id", "text", "lang"), sample_rows, least_rows, most_rows, seed)
+    pairs = chosen.select(F.col("doc_id").alias("of_doc"), F.col("lang").alias("of_lang"))
+    usable = docs.where(F.col("lang").isNotNull() & has_letter(F.col("text")))
+    same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("lang") == F.col("of_lang"))
+    met = usable.join(F.broadcast(pairs), same)  # at most sample_rows, or most_rows with very many languages
     # a doc_id may have any number of rows; one text for each pair keeps what reaches the driver bounded
     rows = met.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
     def count(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        found = [run_counts(t) for t in batch.column("text").to_pylist()]
+        found = [most_frequent(*run_counts(t), row_entries) for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("doc_id"),
@@ -129,10 +161,12 @@ def fit(
     kept_back = order[::6] if len(order) >= 60 else order
     learned = np.setdiff1d(order, kept_back) if len(order) >= 60 else order
     table, weights, bias = descend(inputs, target, learned, len(languages), epochs, seed)
-    scores = table @ weights
-    logits = np.stack([inputs[i][1] @ scores[inputs[i][0]] for i in kept_back]) + bias
+    logits = np.stack([inputs[i][1] @ table[inputs[i][0]] for i in kept_back]) @ weights + bias
     temperature, reject = calibrate(logits, target[kept_back])
-    return Model(languages, (scores / temperature).astype(np.float32), bias / temperature, reject)
+    weights, bias = (weights / temperature).astype(np.float32), bias / temperature
+    if len(languages) > DIMENSION:
+        return Model(languages, table, bias, weights, reject)
+    return Model(languages, table @ weights, bias, None, reject)
 
 
 def descend(inputs, target, learned, n_languages: int, epochs: int, seed: int, rate: float = 1.0, batch: int = 16):
@@ -184,11 +218,12 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     def score(texts: list[str]) -> np.ndarray:
         m = shared.value
         buffer, starts = joined(texts)
-        total = np.zeros((len(texts), len(m.languages)))
+        total = np.zeros((len(texts), m.scores.shape[1]))
         for size in SIZES:
             rows = m.scores[hashed_runs(buffer, size)[: starts[-1]]]
             total += np.add.reduceat(rows, starts[:-1], axis=0)
-        return softmax(total / (len(SIZES) * np.diff(starts))[:, None] + m.bias)
+        mean = total / (len(SIZES) * np.diff(starts))[:, None]
+        return softmax((mean if m.weights is None else mean @ m.weights) + m.bias)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -196,10 +231,10 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
         lettered = batch.column("lettered").to_pylist()
         names, best = [NO_LANGUAGE] * len(texts), np.zeros(len(texts))
         todo = [i for i, x in enumerate(lettered) if x] if m else []
-        start = 0
+        start, most = 0, CHARS_AT_ONCE // (1 if not m or m.weights is None else 4)
         while start < len(todo):
             end, chars = start, 0
-            while end < len(todo) and (end == start or chars + len(texts[todo[end]]) <= CHARS_AT_ONCE):
+            while end < len(todo) and (end == start or chars + len(texts[todo[end]]) <= most):
                 chars += len(texts[todo[end]])
                 end += 1
             sure = score([texts[i] for i in todo[start:end]])

@@ -76,3 +76,41 @@ def test_held_out_accuracy(spark):
     got = QUERIES["op10_language"](spark, "/root/testdata/sf0.01").join(docs, "doc_id").toPandas()
     held = got[got["held_out"]]
     assert len(got) == 1000 and (held["lang_pred"] == held["lang"]).mean() > 0.97
+
+
+def crowd(n_languages, hot=0):
+    """Languages of one row each, and the first with ``hot`` more."""
+    rows = [(i, f"{chr(97 + i % 26)}{chr(97 + i // 26)}word text", f"l{i:03d}") for i in range(n_languages)]
+    return rows + [(n_languages + i, f"hot row {i}", "l000") for i in range(hot)]
+
+
+def test_every_language_is_learned(spark):
+    df = spark.createDataFrame(crowd(450), "doc_id long, text string, lang string")
+    model = language.fit(df, epochs=1)
+    assert model.languages == sorted(f"l{i:03d}" for i in range(450))
+    assert language.predict(df.select("doc_id", "text"), model).where("lang_pred <> 'und'").count() == 450
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_a_hot_language_does_not_push_others_out(spark, seed):
+    ids = "doc_id long, text string, lang string"
+    df = spark.createDataFrame(crowd(100, hot=5000), ids).repartition(4)
+    rows = language.training_rows(df, 100, 1, 24_000, seed).collect()
+    assert sorted(r.lang for r in rows) == sorted(f"l{i:03d}" for i in range(100))
+
+
+def test_too_many_languages_are_an_error(spark):
+    df = spark.createDataFrame(crowd(30), "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="more than 20 languages"):
+        language.fit(df, least_rows=6, most_rows=120)
+
+
+def test_rows_without_an_id_or_letters(spark):
+    rows = [(None, "le être", "fr"), (5, "the and", "en"), (6, "12", "xx"), (None, None, "yy")] + [(7, f"and {i}", "de") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language.fit(df, sample_rows=3, least_rows=1).languages == ["de", "en", "fr"]
+
+
+def test_the_most_frequent_runs_count():
+    rows, counts = language.most_frequent(np.array([3, 5, 8, 9]), np.array([2, 1, 1, 7]), 3)
+    assert rows.tolist() == [3, 5, 9] and counts.tolist() == [2, 1, 7]
