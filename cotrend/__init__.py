@@ -60,6 +60,7 @@ from cotrend.sources.files import (
     urls_to_frame,
 )
 from cotrend.sources.increments import read_counts, read_increments
+from cotrend.sources.metadata import read_metadata, write_metadata
 from cotrend.sources.packed import pack_lines, read_ledger, read_packed
 from cotrend.sources.records import read_records
 
@@ -110,6 +111,7 @@ __all__ = [
     "read_packed",
     "read_records",
     "read_relation",
+    "read_metadata",
     "read_repo_metadata",
     "read_table",
     "read_trend",
@@ -132,4 +134,5 @@ __all__ = [
     "with_pairs",
     "write_increment",
     "write_increments",
+    "write_metadata",
 ]

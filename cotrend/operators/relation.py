@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cotrend.functions.keys import entity_id_from_path
 from cotrend.functions.months import with_month
+from cotrend.sources.metadata import BUCKET, metadata_bucket
 
 
 def join_relation(urls: DataFrame, relation: DataFrame) -> DataFrame:
@@ -28,10 +29,20 @@ def date_entities(
 ) -> DataFrame:
     """Relation rows with the month of their repository's ``updated_at``.
 
-    Rows without a usable date are dropped, or kept with a NULL month for a drop report.
+    Rows without a usable date are dropped, or kept with a NULL month for a drop report. Metadata from ``read_metadata`` is met
+    by bucket too, so that buckets without a repository of the relation need not be read.
     """
-    dates = with_month(metadata, "updated_at").select("repo_id", "month")
+    keys = ["repo_id"]
+    if BUCKET in metadata.columns:
+        relation, keys = relation.withColumn(BUCKET, metadata_bucket(F.col("repo_id"))), [BUCKET, "repo_id"]
+    dates = with_month(metadata, "updated_at").select(*keys, "month")
     if keep_undated:
-        return relation.join(dates, "repo_id", "left").select(by, "repo_id", "month")
+        return relation.join(dates, keys, "left").select(by, "repo_id", "month")
     dates = dates.where(F.col("month").isNotNull())
-    return relation.join(dates, "repo_id").select(by, "repo_id", "month")
+    return relation.join(dates, keys).select(by, "repo_id", "month")
+
+
+def relation_of_files(relation: DataFrame, files: DataFrame) -> DataFrame:
+    """The relation rows of a batch: those whose id is that of a file in ``path``."""
+    ids = files.where(F.col("length") > 0).select(entity_id_from_path(F.col("path")).alias("nb_id"))
+    return relation.join(ids, "nb_id", "left_semi")

@@ -9,11 +9,12 @@ from cotrend.functions.keys import entity_id_from_path
 from cotrend.operators.catalogue import catalogue_span
 from cotrend.operators.counts import file_drop_report, find_baskets, usage_of_baskets
 from cotrend.operators.extract import extract_imports
-from cotrend.operators.relation import date_entities
+from cotrend.operators.relation import date_entities, relation_of_files
 from cotrend.sinks.increments import write_increment
 from cotrend.sources.catalogue_file import load_catalogue
-from cotrend.sources.files import read_relation, read_repo_metadata, refuse_hidden, scan_lines
+from cotrend.sources.files import list_files, read_relation, read_repo_metadata, refuse_hidden, scan_lines
 from cotrend.sources.increments import published_runs, read_increments, read_log
+from cotrend.sources.metadata import read_metadata
 from cotrend.sources.packed import pack_lines, pack_names, read_packed
 from cotrend.sources.records import read_records
 
@@ -50,10 +51,11 @@ def notebook_drop_report(
 
 
 def _tables(
-    spark: SparkSession, relation_path: str, metadata_path: str, catalogue_path: str, multiline: bool
+    spark: SparkSession, relation_path: str, metadata_path: str, catalogue_path: str, multiline: bool, stored: bool = False
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     relation = read_records(spark, relation_path) if multiline else read_relation(spark, relation_path, multiline=False)
-    return relation, read_repo_metadata(spark, metadata_path), load_catalogue(spark, catalogue_path)
+    metadata = read_metadata(spark, metadata_path) if stored else read_repo_metadata(spark, metadata_path)
+    return relation, metadata, load_catalogue(spark, catalogue_path)
 
 
 def run_batch(
@@ -65,15 +67,19 @@ def run_batch(
     root: str,
     batch_id: str,
     multiline: bool = True,
+    stored_metadata: bool = False,
 ) -> DataFrame:
     """Process the notebook folders of a batch and store the counts; returns the stored counts.
 
     The relation is read by many tasks, however large one file is; ``multiline=False`` saves a shuffle where no field holds a
-    line break.
+    line break. ``stored_metadata`` says that ``metadata_path`` was written by ``write_metadata``: then the dates of the
+    batch's own repositories are looked up, not those of all.
     """
     refuse_hidden(spark, folders)
-    tables = _tables(spark, relation_path, metadata_path, catalogue_path, multiline)
-    write_increment(notebook_usage(scan_lines(spark, folders), *tables), root, batch_id)
+    relation, metadata, catalogue = _tables(spark, relation_path, metadata_path, catalogue_path, multiline, stored_metadata)
+    if stored_metadata:
+        relation = relation_of_files(relation, list_files(spark, folders))
+    write_increment(notebook_usage(scan_lines(spark, folders), relation, metadata, catalogue), root, batch_id)
     stored = read_increments(spark, root)
     return stored.where(F.col("batch_id") == batch_id)
 

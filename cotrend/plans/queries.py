@@ -22,6 +22,7 @@ from cotrend.sinks.increments import append_by_key, compact_increments, write_in
 from cotrend.sources import files
 from cotrend.sources.catalogue_file import load_catalogue
 from cotrend.sources.increments import read_counts, read_increments
+from cotrend.sources.metadata import read_metadata, write_metadata
 from cotrend.sources.packed import pack_lines, read_packed
 from cotrend.sources.records import read_records
 
@@ -342,6 +343,31 @@ def join_metadata_month(spark, sf_dir):
     return dated.select("nb_id", "repo_id", month_text(F.col("month")).alias("datetime"))
 
 
+@query(
+    """SELECT o_orderstatus AS status, CAST(o_orderkey AS VARCHAR) AS nb_id, strftime(last, '%Y-%m') AS datetime
+FROM orders JOIN (SELECT o_custkey, max(o_orderdate) AS last FROM orders GROUP BY o_custkey)
+USING (o_custkey)"""
+)
+def join_stored_metadata(spark, sf_dir):
+    """Finished and other orders as two batches that look up their own repositories in a store of dates."""
+    root = scratch_path(spark, "dates")
+    metadata = tb.customer_documents(spark, sf_dir)
+    write_metadata(metadata.select("repo_id", json_text(F.col("document"), "updated_at").alias("updated_at")), root)
+    orders = tb.table(spark, sf_dir, "orders").select(
+        F.col("o_orderstatus").alias("status"),
+        F.col("o_orderkey").cast("string").alias("nb_id"),
+        F.col("o_custkey").cast("string").alias("repo_id"),
+    )
+    finished = F.coalesce(F.col("status") == "F", F.lit(False))
+
+    def dated(batch: DataFrame) -> DataFrame:
+        months = date_entities(batch, read_metadata(spark, root))
+        return months.join(batch.select("nb_id", "status"), "nb_id")
+
+    both = dated(orders.where(finished)).unionByName(dated(orders.where(~finished)))
+    return both.select("status", "nb_id", month_text(F.col("month")).alias("datetime"))
+
+
 @query(
     with_(PARTLY_DATED)
     + "SELECT entity, coalesce(datetime, 'none') AS datetime FROM partly"
