@@ -1,8 +1,8 @@
 """Monthly series from stored counts.
 
 A key is its two items (the second is NULL for a single tool), never the joined text, which two keys
-can share. Filters on the items reach the scan of a stored table: batches are sorted by item, so row
-groups of other keys are skipped.
+can share. Filters on the items reach the scan of a stored table: batches are sorted along both items, so
+files, row groups and pages without a wanted item in either place are skipped.
 """
 
 from __future__ import annotations

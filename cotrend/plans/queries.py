@@ -18,8 +18,10 @@ from cotrend.operators.relation import date_entities, join_relation
 from cotrend.plans import tables as tb
 from cotrend.plans.batch import notebook_drop_report, notebook_usage
 from cotrend.session import scratch_path
+from cotrend.sinks.buckets import append_buckets
 from cotrend.sinks.increments import append_by_key, compact_increments, write_increment, write_increments
 from cotrend.sources import files
+from cotrend.sources.buckets import read_buckets
 from cotrend.sources.catalogue_file import load_catalogue
 from cotrend.sources.increments import read_counts, read_increments
 from cotrend.sources.metadata import read_metadata, write_metadata
@@ -651,8 +653,8 @@ def sink_append_roundtrip(spark, sf_dir):
 @query(ALL_WITH + "SELECT library, item_a, item_b, datetime, lib_counts FROM counts")
 def sink_fanout_by_key(spark, sf_dir):
     root = scratch_path(spark, "by-key")
-    append_by_key(_usage(spark, sf_dir), root)
-    return _plain(read_increments(spark, root)).select("library", "item_a", "item_b", "datetime", "lib_counts")
+    append_buckets(_usage(spark, sf_dir), root)
+    return _plain(read_buckets(spark, root)).select("library", "item_a", "item_b", "datetime", "lib_counts")
 
 
 @query(

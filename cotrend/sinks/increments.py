@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cotrend.sources.files import matches
@@ -58,10 +58,20 @@ def _publish(spark: SparkSession, root: str, rows: list[tuple]) -> None:
     entry.write.json(f"{log_folder(root)}/entry={number:012d}-{uuid.uuid4().hex}")
 
 
+def _curve() -> Column:
+    """Sort key that takes letters of both items in turn, so that rows close in it are close in either item."""
+    return F.arrays_zip(F.split("item_a", ""), F.split(F.coalesce("item_b", F.lit("")), ""))
+
+
 def _sorted_rows(counts: DataFrame, *first: str) -> DataFrame:
-    """Keys kept together and sorted: few files for any number of pairs, and a filter on the items still skips rows."""
-    dealt = counts.select(*first, *STORED).repartition(*first, "item_a")
-    return dealt.sortWithinPartitions(*first, "item_a", "item_b", "datetime")
+    """Few files for any number of pairs, whose parts hold few first and few second items.
+
+    Single tools come first, then pairs along an interleaved key: a filter on either item skips files, row groups and pages by
+    their smallest and largest names, which a sort by ``item_a`` would only do for the first one.
+    """
+    order = [*first, F.col("item_b").isNotNull(), _curve()]
+    dealt = counts.select(*first, *STORED).repartitionByRange(*order)
+    return dealt.sortWithinPartitions(*order, "item_a", "item_b", "datetime")
 
 
 def write_increment(counts: DataFrame, root: str, batch_id: str) -> None:
