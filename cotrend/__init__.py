@@ -38,8 +38,9 @@ from cotrend.operators.counts import (
 from cotrend.operators.extract import extract_imports
 from cotrend.operators.relation import date_entities, join_relation
 from cotrend.operators.trends import trend, trend_by_category, trend_pairs_by_category
-from cotrend.plans.batch import notebook_drop_report, notebook_usage, run_batch, run_batches, run_new_files
+from cotrend.plans.batch import count_batch, notebook_drop_report, notebook_usage, run_batch, run_batches, run_new_files
 from cotrend.session import build_session, scratch_path
+from cotrend.sinks.buckets import append_buckets
 from cotrend.sinks.database import append_table, append_table_per_key
 from cotrend.sinks.increments import (
     append_by_key,
@@ -48,6 +49,7 @@ from cotrend.sinks.increments import (
     write_increment,
     write_increments,
 )
+from cotrend.sources.buckets import read_buckets
 from cotrend.sources.catalogue_file import load_catalogue
 from cotrend.sources.database import read_table, read_trend, table_exists
 from cotrend.sources.files import (
@@ -59,12 +61,13 @@ from cotrend.sources.files import (
     scan_lines,
     urls_to_frame,
 )
-from cotrend.sources.increments import read_counts, read_increments
+from cotrend.sources.increments import read_counts, read_increments, read_report
 from cotrend.sources.metadata import read_metadata, write_metadata
 from cotrend.sources.packed import pack_lines, read_ledger, read_packed
 from cotrend.sources.records import read_records
 
 __all__ = [
+    "append_buckets",
     "append_by_key",
     "append_table",
     "append_table_per_key",
@@ -72,6 +75,7 @@ __all__ = [
     "build_session",
     "clean_line",
     "compact_increments",
+    "count_batch",
     "count_monthly",
     "counts_as_text",
     "date_entities",
@@ -105,17 +109,18 @@ __all__ = [
     "partner_categories",
     "path_parts",
     "preview",
+    "read_buckets",
     "read_counts",
     "read_increments",
     "read_ledger",
+    "read_metadata",
     "read_packed",
     "read_records",
     "read_relation",
-    "read_metadata",
     "read_repo_metadata",
+    "read_report",
     "read_table",
     "read_trend",
-    "table_exists",
     "refuse_hidden",
     "remove_unpublished",
     "run_batch",
@@ -124,6 +129,7 @@ __all__ = [
     "scan_lines",
     "scratch_path",
     "series_label",
+    "table_exists",
     "tools_of_category",
     "trend",
     "trend_by_category",

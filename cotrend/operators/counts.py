@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from cotrend.functions.keys import pair_key
+from cotrend.functions.keys import entity_id_from_path, pair_key
 from cotrend.functions.months import month_text
 from cotrend.operators.baskets import (
     basket_masks,
@@ -66,9 +66,20 @@ def usage_of_baskets(
     else:
         dated = merge_rows(dated, by, *more)
     equal = dated.join(found, by).groupBy("basket", "month", *more).agg(F.sum("n").alias("n"))
+    return usage_of_equal_baskets(equal, catalogue, span, singles, pairs, more)
 
+
+def usage_of_equal_baskets(
+    equal: DataFrame,
+    catalogue: DataFrame,
+    span: int,
+    singles: bool = True,
+    pairs: bool = True,
+    more: tuple[str, ...] = (),
+) -> DataFrame:
+    """``usage_of_baskets`` from baskets with their month and number of rows ``n``."""
     keep = ["month", "n", *more]
-    listed = isinstance(found.schema["basket"].dataType, ArrayType)
+    listed = isinstance(equal.schema["basket"].dataType, ArrayType)
     if listed:
         rows = place_rows(equal, keep, singles, pairs)
     else:
@@ -169,24 +180,30 @@ def drop_report(
     return marked.groupBy(reason.alias("reason")).agg(F.sum("n").alias("n"))
 
 
-def file_drop_report(
-    paths: DataFrame, baskets: DataFrame, dated: DataFrame
-) -> DataFrame:
-    """Rows of files that count and that do not: ``reason``, ``n``.
+def judge_files(paths: DataFrame, found: DataFrame, dated: DataFrame) -> DataFrame:
+    """Rows of files by what becomes of them: ``reason``, ``basket``, ``month``, ``n``.
 
-    ``paths`` has ``path`` and ``nb_id`` of every file, ``baskets`` the ``path`` of each file with a
-    catalogued item, and ``dated`` the relation rows with their months (``date_entities`` with
-    ``keep_undated``). A file without a relation row is one row, a file listed twice is two.
+    ``paths`` has the ``path`` of every file, ``found`` the ``path`` and ``basket`` of each file with a catalogued item, and
+    ``dated`` the relation rows with their months (``date_entities`` with ``keep_undated``). A file without a relation row is
+    one row, a file listed twice is two. Only rows that count have a basket and a month. Equal rows are counted, so the result
+    is small: the counts and the drop report both come from it.
     """
-    with_item = baskets.select("path").distinct().withColumn("has_item", F.lit(True))
-    files = paths.join(with_item, "path", "left").groupBy("nb_id", "has_item").agg(F.count("*").alias("files"))
+    met = paths.select("path", entity_id_from_path(F.col("path")).alias("nb_id")).join(found, "path", "left")
+    files = met.groupBy("nb_id", "basket").agg(F.count("*").alias("files"))
     listed = merge_rows(dated, "nb_id")
     reason = (
         F.when(F.col("n").isNull(), "no relation row")
         .when(F.col("month").isNull(), "no date")
-        .when(F.col("has_item").isNull(), "no catalogued item")
+        .when(F.col("basket").isNull(), "no catalogued item")
         .otherwise("counted")
     )
-    rows = F.col("files") * F.coalesce("n", F.lit(1))
-    met = files.join(listed, "nb_id", "left").select(reason.alias("reason"), rows.alias("rows"))
-    return met.groupBy("reason").agg(F.sum("rows").alias("n"))
+    rows = (F.col("files") * F.coalesce("n", F.lit(1))).alias("n")
+    judged = files.join(listed, "nb_id", "left").select(reason.alias("reason"), "basket", "month", rows)
+    counted = F.col("reason") == "counted"
+    basket, month = (F.when(counted, F.col(name)).alias(name) for name in ("basket", "month"))
+    return judged.groupBy("reason", basket, month).agg(F.sum("n").alias("n"))
+
+
+def report_of_judged(judged: DataFrame) -> DataFrame:
+    """What became of the files: ``reason``, ``n``."""
+    return judged.groupBy("reason").agg(F.sum("n").alias("n"))

@@ -7,15 +7,21 @@ from pyspark.sql import functions as F
 
 from cotrend.functions.keys import entity_id_from_path
 from cotrend.operators.catalogue import catalogue_span
-from cotrend.operators.counts import file_drop_report, find_baskets, usage_of_baskets
+from cotrend.operators.counts import (
+    find_baskets,
+    judge_files,
+    report_of_judged,
+    usage_of_baskets,
+    usage_of_equal_baskets,
+)
 from cotrend.operators.extract import extract_imports
 from cotrend.operators.relation import date_entities, relation_of_files
-from cotrend.sinks.increments import write_increment
+from cotrend.sinks.increments import delete_folder, write_increment
 from cotrend.sources.catalogue_file import load_catalogue
 from cotrend.sources.files import list_files, read_relation, read_repo_metadata, refuse_hidden, scan_lines
-from cotrend.sources.increments import published_runs, read_increments, read_log
+from cotrend.sources.increments import published_runs, read_increments, read_log, work_folder
 from cotrend.sources.metadata import read_metadata
-from cotrend.sources.packed import pack_lines, pack_names, read_packed
+from cotrend.sources.packed import pack_lines, pack_names, read_ledger, read_packed
 from cotrend.sources.records import read_records
 
 
@@ -44,10 +50,42 @@ def notebook_drop_report(
     Reasons are ``no relation row``, ``no date``, ``no catalogued item`` and ``counted``, in this
     order; every file with a line is in one of them, once for each of its relation rows.
     """
-    span = catalogue_span(catalogue)
+    paths = lines.select("path").distinct()
+    return report_of_judged(_judged(lines, paths, relation, metadata, catalogue, catalogue_span(catalogue)))
+
+
+def _judged(
+    lines: DataFrame, paths: DataFrame, relation: DataFrame, metadata: DataFrame, catalogue: DataFrame, span: int
+) -> DataFrame:
     found = find_baskets(extract_imports(lines, distinct=False), catalogue, span, by="path")
-    paths = lines.select("path").distinct().withColumn("nb_id", entity_id_from_path(F.col("path")))
-    return file_drop_report(paths, found, date_entities(relation, metadata, keep_undated=True))
+    return judge_files(paths, found, date_entities(relation, metadata, keep_undated=True))
+
+
+def count_batch(
+    lines: DataFrame,
+    paths: DataFrame,
+    relation: DataFrame,
+    metadata: DataFrame,
+    catalogue: DataFrame,
+    root: str,
+    batch_id: str,
+) -> None:
+    """Store the counts of ``notebook_usage`` and the figures of ``notebook_drop_report`` from one scan of the lines.
+
+    ``paths`` has the ``path`` of every file that has a line, which a listing knows without opening files. Equal baskets are
+    written once under ``root``; counts and report are read from there, and are published together. (Accumulators, as in
+    ``observe``, could count rows twice when tasks of a lost executor run again.)
+    """
+    spark, span = lines.sparkSession, catalogue_span(catalogue)
+    path = work_folder(root)
+    try:
+        _judged(lines, paths, relation, metadata, catalogue, span).write.parquet(path)
+        judged = spark.read.parquet(path)
+        equal = judged.where(F.col("reason") == "counted").drop("reason")
+        counts = usage_of_equal_baskets(equal, catalogue, span)
+        write_increment(counts, root, batch_id, report=report_of_judged(judged))
+    finally:
+        delete_folder(spark, path)
 
 
 def _tables(
@@ -71,15 +109,18 @@ def run_batch(
 ) -> DataFrame:
     """Process the notebook folders of a batch and store the counts; returns the stored counts.
 
+    What became of the batch's files is stored beside them, see ``read_report``.
+
     The relation is read by many tasks, however large one file is; ``multiline=False`` saves a shuffle where no field holds a
     line break. ``stored_metadata`` says that ``metadata_path`` was written by ``write_metadata``: then the dates of the
     batch's own repositories are looked up, not those of all.
     """
     refuse_hidden(spark, folders)
     relation, metadata, catalogue = _tables(spark, relation_path, metadata_path, catalogue_path, multiline, stored_metadata)
+    listed = list_files(spark, folders)
     if stored_metadata:
-        relation = relation_of_files(relation, list_files(spark, folders))
-    write_increment(notebook_usage(scan_lines(spark, folders), relation, metadata, catalogue), root, batch_id)
+        relation = relation_of_files(relation, listed)
+    count_batch(scan_lines(spark, folders), listed, relation, metadata, catalogue, root, batch_id)
     stored = read_increments(spark, root)
     return stored.where(F.col("batch_id") == batch_id)
 
@@ -128,5 +169,6 @@ def run_new_files(
     if waiting:
         tables = _tables(spark, relation_path, metadata_path, catalogue_path, multiline)
         for pack in waiting:
-            write_increment(notebook_usage(read_packed(spark, store, [pack]), *tables), root, pack)
+            paths = read_ledger(spark, store).where(F.col("pack") == pack)
+            count_batch(read_packed(spark, store, [pack]), paths, *tables, root, pack)
     return read_increments(spark, root).where(F.col("batch_id").isin(waiting))

@@ -16,14 +16,14 @@ from cotrend.operators import trends as tr
 from cotrend.operators.extract import extract_imports
 from cotrend.operators.relation import date_entities, join_relation
 from cotrend.plans import tables as tb
-from cotrend.plans.batch import notebook_drop_report, notebook_usage
+from cotrend.plans.batch import count_batch, notebook_drop_report, notebook_usage
 from cotrend.session import scratch_path
 from cotrend.sinks.buckets import append_buckets
 from cotrend.sinks.increments import append_by_key, compact_increments, write_increment, write_increments
 from cotrend.sources import files
 from cotrend.sources.buckets import read_buckets
 from cotrend.sources.catalogue_file import load_catalogue
-from cotrend.sources.increments import read_counts, read_increments
+from cotrend.sources.increments import read_counts, read_increments, read_report
 from cotrend.sources.metadata import read_metadata, write_metadata
 from cotrend.sources.packed import pack_lines, read_packed
 from cotrend.sources.records import read_records
@@ -498,7 +498,7 @@ def drop_report(spark, sf_dir):
     return ct.drop_report(tb.items(spark, sf_dir), entities, one_region)
 
 
-@query(
+FILE_REASONS = (
     with_(USED)
     + """SELECT reason, count(*) AS n FROM (
   SELECT CASE WHEN o_orderkey IS NULL THEN 'no relation row'
@@ -512,7 +512,9 @@ def drop_report(spark, sf_dir):
   LEFT JOIN (SELECT o_custkey, max(o_orderdate) AS last FROM orders GROUP BY o_custkey) USING (o_custkey))
 GROUP BY reason"""
 )
-def notebook_drop_report_(spark, sf_dir):
+
+
+def _partly_listed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     # orders of status P have no relation row; customers whose last order is old have a date of another form
     listed = tb.table(spark, sf_dir, "orders").where(F.col("o_orderstatus") != "P")
     relation = listed.select(
@@ -522,7 +524,20 @@ def notebook_drop_report_(spark, sf_dir):
     text = F.when(F.col("text") < "1998-06-01", F.substring("text", 1, 10)).otherwise(F.col("text"))
     metadata = dated.select("repo_id", text.alias("updated_at"))
     one_region = tb.catalogue(spark, sf_dir).where(F.col("Category") == "ASIA")
-    return notebook_drop_report(tb.notebook_lines(spark, sf_dir), relation, metadata, one_region)
+    return tb.notebook_lines(spark, sf_dir), relation, metadata, one_region
+
+
+@query(FILE_REASONS)
+def notebook_drop_report_(spark, sf_dir):
+    return notebook_drop_report(*_partly_listed(spark, sf_dir))
+
+
+@query(FILE_REASONS.replace("SELECT reason,", "SELECT 'listed' AS batch_id, reason,", 1))
+def stored_drop_report(spark, sf_dir):
+    """The report that a batch stores with its counts, from the scan that counts."""
+    root, (lines, *tables) = scratch_path(spark, "reported"), _partly_listed(spark, sf_dir)
+    count_batch(lines, lines.select("path").distinct(), *tables, root, "listed")
+    return read_report(spark, root)
 
 
 # --- catalogue ----------------------------------------------------------------------------------

@@ -18,6 +18,7 @@ from cotrend.sources.increments import (
     published_runs,
     read_counts,
     read_log,
+    report_folder,
     run_folder,
     tier_folder,
 )
@@ -74,14 +75,17 @@ def _sorted_rows(counts: DataFrame, *first: str) -> DataFrame:
     return dealt.sortWithinPartitions(*order, "item_a", "item_b", "datetime")
 
 
-def write_increment(counts: DataFrame, root: str, batch_id: str) -> None:
+def write_increment(counts: DataFrame, root: str, batch_id: str, report: DataFrame | None = None) -> None:
     """Write the counts of one batch; a second run of the batch takes the place of the first.
 
     Every run has a folder of its own and is published when it is complete. Until then, and if it fails, readers see
     the run before it. An empty run replaces too, so keys that a second run no longer has do not stay behind.
+    ``report`` (``reason``, ``n``; a few rows) is published with the counts.
     """
     run = _new_run(counts.sparkSession, root)
     _sorted_rows(counts).write.parquet(f"{run_folder(root, run)}/{batch_folder(batch_id)}")
+    if report is not None:
+        report.select("reason", "n").coalesce(1).write.json(report_folder(root, run))
     _publish(counts.sparkSession, root, [(batch_id, run, None, None)])
 
 
@@ -133,11 +137,16 @@ def remove_unpublished(spark: SparkSession, root: str) -> list[str]:
     last = log.where(F.col("tier").isNotNull()).orderBy(F.desc("entry")).limit(1).collect()
     needed = {f"run={run}" for _, run in published_runs(log)}
     needed |= {f"run={pair.run}" for row in last for pair in row.merged} | {row.tier for row in last}
-    jvm, removed = spark.sparkContext._jvm, []
-    for pattern in ("runs/run=*", "tiers/*"):
+    removed = []
+    for pattern in ("runs/run=*", "tiers/*", "work/*"):
         for found in matches(spark, f"{root.rstrip('/')}/{pattern}"):
-            path = jvm.org.apache.hadoop.fs.Path(found)
-            if path.getName() not in needed:
-                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-                removed.append(path.getName())
+            name = found.rsplit("/", 1)[-1]
+            if name not in needed:
+                delete_folder(spark, found)
+                removed.append(name)
     return sorted(removed)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -7,6 +7,7 @@ log alone, so a run that is still being written, or that died, is never seen.
 
 from __future__ import annotations
 
+import uuid
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
@@ -14,9 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cotrend.functions.keys import pair_key
+from cotrend.sources.files import matches
 
 COUNTS = "item_a string, item_b string, datetime string, lib_counts bigint"
 SCHEMA = f"{COUNTS}, batch_id string, library string"
+REPORT = "batch_id string, reason string, n bigint"
 LOG = "batch_id string, run string, tier string, merged array<struct<batch_id string, run string>>, entry string"
 
 # The signs that Spark's partition folders hold in percent form, and its name for NULL.
@@ -50,6 +53,16 @@ def log_folder(root: str) -> str:
     return f"{root.rstrip('/')}/published"
 
 
+def report_folder(root: str, run: str) -> str:
+    """The drop report of a run; it lies beside the run's batch and is deleted with it."""
+    return f"{run_folder(root, run)}/report"
+
+
+def work_folder(root: str) -> str:
+    """A new folder for what one run writes and reads again."""
+    return f"{root.rstrip('/')}/work/{uuid.uuid4().hex}"
+
+
 def read_log(spark: SparkSession, root: str) -> DataFrame | None:
     """The publications of a store, ordered by the text ``entry``; None where nothing was ever published."""
     try:
@@ -76,6 +89,25 @@ def read_runs(spark: SparkSession, root: str, runs: list[Run]) -> DataFrame:
     return spark.read.schema(schema).option("basePath", f"{root.rstrip('/')}/runs").parquet(*paths).select(columns)
 
 
+def read_report(spark: SparkSession, root: str) -> DataFrame:
+    """What became of the files of each published batch: ``batch_id``, ``reason``, ``n``.
+
+    Batches that were written without a report have no rows.
+    """
+    log = read_log(spark, root)
+    runs = [] if log is None else published_runs(log)
+    empty = spark.createDataFrame([], REPORT)
+    if not runs:
+        return empty
+    rows = spark.read.schema("reason string, n bigint, run string").option("basePath", f"{root.rstrip('/')}/runs")
+    present = {path.rsplit("/", 2)[-2] for path in matches(spark, f"{root.rstrip('/')}/runs/run=*/report")}
+    paths = [report_folder(root, run) for _, run in runs if f"run={run}" in present]
+    if not paths:
+        return empty
+    batches = spark.createDataFrame(runs, "batch_id string, run string")
+    return rows.json(paths).join(batches, "run").select("batch_id", "reason", "n")
+
+
 def _keyed(rows: DataFrame, *more: str) -> DataFrame:
     key = pair_key(rows["item_a"], rows["item_b"]).alias("library")
     return rows.select(key, "item_a", "item_b", "datetime", "lib_counts", *more)

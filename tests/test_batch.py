@@ -10,14 +10,19 @@ from cotrend import (
     notebook_drop_report,
     read_increments,
     read_relation,
+    read_report,
     read_repo_metadata,
     run_batch,
     run_batches,
+    run_new_files,
     scan_lines,
     trend,
 )
 
-from .conftest import rows
+from cotrend.operators import counts as ct
+from cotrend.plans import batch
+
+from .conftest import plan, rows
 
 
 def cell(*statements):
@@ -118,6 +123,71 @@ def test_drop_report_of_files(spark, corpus):
     assert dict(rows(report)) == {"no relation row": 1, "no date": 2, "no catalogued item": 1, "counted": 5}
 
 
+REASONS = {
+    "notebooks_1": {"no catalogued item": 1, "counted": 2},
+    "notebooks_2": {"no relation row": 1, "no date": 2, "counted": 3},
+}
+
+
+def reports(spark, corpus):
+    found = {}
+    for row in read_report(spark, str(corpus / "counts")).collect():
+        found.setdefault(row.batch_id, {})[row.reason] = row.n
+    return found
+
+
+def test_report_is_stored_with_the_counts(spark, corpus):
+    (corpus / "notebooks_2" / "nb_8 ä.ipynb").write_text("")  # no line, no row
+    run_batches(spark, **arguments(corpus, ["notebooks_1", "notebooks_2"]))
+    assert reports(spark, corpus) == REASONS
+    (corpus / "notebooks_1" / "nb 1000.ipynb").write_text("nothing")
+    run_batch(spark, batch_id="notebooks_1", **arguments(corpus, ["notebooks_1"]))
+    again = {**REASONS["notebooks_1"], "no relation row": 1}
+    assert reports(spark, corpus) == {**REASONS, "notebooks_1": again}
+    assert list((corpus / "counts" / "work").glob("*")) == []
+
+
+def test_reports_of_new_files(spark, corpus):
+    store = str(corpus / "packed")
+    for folders in (["notebooks_1"], ["notebooks_1", "notebooks_2"]):
+        run_new_files(spark, store=store, **arguments(corpus, folders))
+    assert [found for _, found in sorted(reports(spark, corpus).items())] == list(REASONS.values())
+
+
+def test_no_report_without_a_batch(spark, corpus):
+    assert reports(spark, corpus) == {}
+
+
+def test_failed_batch_keeps_the_report_before(spark, corpus, monkeypatch):
+    run_batch(spark, batch_id="notebooks_1", **arguments(corpus, ["notebooks_1"]))
+    monkeypatch.setattr(batch, "write_increment", lambda *_, **__: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run_batch(spark, batch_id="notebooks_1", **arguments(corpus, ["notebooks_2"]))
+    assert reports(spark, corpus) == {"notebooks_1": REASONS["notebooks_1"]}
+    assert list((corpus / "counts" / "work").glob("*")) == []
+
+
+def test_one_scan_of_the_files(spark, corpus, monkeypatch):
+    """Counts and report are both read from what the one scan of the texts wrote."""
+    seen = []
+    plain = batch.write_increment
+
+    def write(counts, root, batch_id, report):
+        seen.extend(plan(frame) for frame in (counts, report))
+        plain(counts, root, batch_id, report=report)
+
+    monkeypatch.setattr(batch, "write_increment", write)
+    run_batch(spark, batch_id="all", **arguments(corpus, ["notebooks_1", "notebooks_2"]))
+    assert len(seen) == 2 and not [text for text in seen if "FileScan text" in text]
+    folders = arguments(corpus, ["notebooks_1"])["folders"]
+    catalogue = load_catalogue(spark, str(corpus / "catalogue.csv"))
+    names = batch.extract_imports(scan_lines(spark, folders), distinct=False)
+    found = ct.find_baskets(names, catalogue, 4, by="path")
+    dated = spark.createDataFrame([], "nb_id string, repo_id string, month date")
+    judged = ct.judge_files(batch.list_files(spark, folders), found, dated)
+    assert judged._jdf.queryExecution().executedPlan().toString().count("FileScan text") == 1
+
+
 def test_command_line(spark, corpus):
     command.main(
         ["--folders", str(corpus / "notebooks_1"), str(corpus / "notebooks_2")]

@@ -58,7 +58,7 @@ def test_a_pack_that_died_is_packed_again(spark, tmp_path, monkeypatch):
     folder, store = tmp_path / "in", str(tmp_path / "store")
     write(folder, a="1\n")
     with monkeypatch.context() as patch:
-        patch.setattr(packed.F, "lit", lambda *_: (_ for _ in ()).throw(OSError("lost")))  # after the lines, before the ledger
+        patch.setattr(packed.F, "lit", lambda *_, **__: (_ for _ in ()).throw(OSError("lost")))  # after the lines, before the ledger
         with pytest.raises(OSError, match="lost"):
             pack_lines(spark, [str(folder)], store)
     assert (tmp_path / "store" / "lines").exists() and lines(spark, store) == []
@@ -78,7 +78,7 @@ def test_a_grown_folder_gives_the_same_counts(spark, corpus, monkeypatch):  # no
         if path.name != "nb_1.ipynb":  # a file of this name is there already
             (folder / path.name).write_text(path.read_text())
     with monkeypatch.context() as patch:  # dies after packing
-        patch.setattr(batch, "write_increment", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        patch.setattr(batch, "write_increment", lambda *_, **__: (_ for _ in ()).throw(OSError("lost")))
         with pytest.raises(OSError, match="lost"):
             run_new_files(spark, **more)
     second = run_new_files(spark, **more)
