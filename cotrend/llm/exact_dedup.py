@@ -132,8 +132,12 @@ def build_filters(snapshot: DataFrame) -> DataFrame:
     )
 
 
-def screen(digests: DataFrame, filters: DataFrame) -> DataFrame:
-    """The rows of ``digests`` (``bucket``, ``digest``) that the filter of their bucket may hold."""
+def screen(digests: DataFrame, filters: DataFrame, parts: int = 1) -> DataFrame:
+    """The rows of ``digests`` (``bucket``, ``digest``) that the filter of their bucket may hold.
+
+    The buckets follow the snapshot, the batch may be far larger: its rows of a bucket are dealt into ``parts`` tasks, each
+    with a copy of the bucket's filter.
+    """
 
     def test(group: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         if not len(group) or not len(found):
@@ -142,8 +146,15 @@ def screen(digests: DataFrame, filters: DataFrame) -> DataFrame:
         built = FuseFilter(int(row["seed"]), int(row["segment"]), np.frombuffer(row["cells"], np.uint8))
         return group[built.holds(keys_of(group["digest"]))]
 
-    pair = digests.select("bucket", "digest").groupBy("bucket").cogroup(filters.groupBy("bucket"))
-    return pair.applyInPandas(test, "bucket int, digest binary")
+    dealt = digests.select("bucket", "digest", F.pmod(F.xxhash64("digest"), F.lit(parts)).cast("int").alias("part"))
+    copies = filters.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    pair = dealt.groupBy("bucket", "part").cogroup(copies.groupBy("bucket", "part"))
+    return pair.applyInPandas(test, "bucket int, digest binary, part int").drop("part")
+
+
+def screen_parts(n_digests: int, buckets: int) -> int:
+    """Parts of each bucket, so that a task takes as many digests of the batch as a bucket holds of the snapshot."""
+    return max(1, -(-n_digests // (TEXTS_PER_BUCKET * max(1, buckets))))
 
 
 def grouped(rows: DataFrame) -> DataFrame:
@@ -182,7 +193,9 @@ def find_copies(docs: DataFrame, incoming: Column, digest_of: Callable[[Column],
     buckets = filters.count()
     batch = grouped(rows.where("new")).withColumn("bucket", bucket_of(F.col("digest"), max(1, buckets)))
     batch = stored(batch, "batch")
-    positive = screen(batch, filters).select("digest")
+    # nothing can be in an empty snapshot
+    found = screen(batch, filters, screen_parts(batch.count(), buckets)) if buckets else batch.limit(0)
+    positive = found.select("digest")
     met = batch.join(positive, "digest", "left_semi").unionByName(snapshot).groupBy("digest").agg(
         F.min("first_id").alias("first_id"), F.sum("n_rows").alias("n_rows")
     )  # what the filter does not hold is not met: it is new, and grouped on its own

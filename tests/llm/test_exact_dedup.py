@@ -43,6 +43,29 @@ def test_colliding_digests_are_told_apart_by_bytes(documents):
     assert sorted(got) == sorted((i, keep, n) for i, keep, n, _ in brute(ROWS))
 
 
+@pytest.mark.parametrize("incoming", ["doc_id > 5", "true"])
+def test_large_batch_on_a_small_snapshot_runs_in_many_tasks(documents, monkeypatch, incoming):
+    monkeypatch.setattr(exact_dedup, "TEXTS_PER_BUCKET", 8)
+    screened = []
+    plain = exact_dedup.screen
+
+    def screen(digests, filters, parts=1):
+        screened.append((digests.count(), filters.count(), parts))
+        return plain(digests, filters, parts)
+
+    monkeypatch.setattr(exact_dedup, "screen", screen)
+    assert result(documents(ROWS), F.expr(incoming)) == brute(ROWS)
+    assert all(parts >= digests / (8 * buckets) > 1 for digests, buckets, parts in screened)
+    assert len(screened) == (incoming != "true")  # no filters, no screening
+
+
+def test_parts_hold_the_same_rows(spark):
+    rows = spark.range(3000).select(F.lit(0).alias("bucket"), F.unhex(F.sha2(F.col("id").cast("string"), 256)).alias("digest"))
+    filters = exact_dedup.build_filters(rows.orderBy("digest").limit(1000))
+    found = [sorted(exact_dedup.screen(rows, filters, parts).collect()) for parts in (1, 7)]
+    assert found[0] == found[1] and len(found[0]) >= 1000
+
+
 def test_empty_table(documents):
     assert result(documents([]), F.lit(True)) == []
 
