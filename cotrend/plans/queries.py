@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -167,13 +168,43 @@ def _source_folder() -> Column:
     return F.regexp_extract("path", "/(documents|conversations)-[^/]*/[^/]*$", 1)
 
 
+def _write_text_files(rows: DataFrame, root: str, n_files: int) -> None:
+    """``text`` of ``rows`` as ``n_files`` text files of about the same size.
+
+    Spark writes a file in one task, so each task takes its share of the whole table. The shares are written before that,
+    by all tasks of the scan and in columns that zstd compresses, and each is then read as a stream: a task reads about two
+    thirds of what a shuffle would bring it, and nothing is sorted.
+    """
+    spark = rows.sparkSession
+    dealt = scratch_path(spark, "dealt")
+    share = F.pmod(F.spark_partition_id() + F.monotonically_increasing_id(), F.lit(n_files)).cast("int")
+    by_share = rows.select("text", share.alias("share"))
+    by_share.write.partitionBy("share").option("compression", "zstd").parquet(dealt)
+    stored = spark.read.schema(by_share.schema).parquet(dealt)
+    shares = [stored.where(F.col("share") == i).select("text").coalesce(1) for i in range(n_files)]
+    # from Spark 4.1 on a union of single partitions is a single partition, unless told otherwise
+    merges = "spark.sql.unionOutputPartitioning"
+    before = spark.conf.get(merges, None)
+    spark.conf.set(merges, "false")
+    try:
+        reduce(DataFrame.unionAll, shares).write.text(root)
+    finally:
+        if before is None:
+            spark.conf.unset(merges)
+        else:
+            spark.conf.set(merges, before)
+
+
 def _text_folders(spark: SparkSession, sf_dir: str, files_each: int | None = None) -> list[str]:
     """Two tables written as folders of text files; each text ends with one newline more."""
     roots = []
     for name in ("documents", "conversations"):
         roots.append(scratch_path(spark, name))
         rows = tb.table(spark, sf_dir, name).select("text")
-        (rows.repartition(files_each) if files_each else rows).write.text(roots[-1])
+        if files_each:
+            _write_text_files(rows, roots[-1], files_each)
+        else:
+            rows.write.text(roots[-1])
     return roots
 
 
